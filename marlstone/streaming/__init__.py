@@ -1,0 +1,7 @@
+"""Streaming.
+
+The lakehouse this library reproduces is a daily full-refresh batch: it has
+no streams, watermarks, windows or state, so there is no streaming operator
+here. Each stage replaces its zone from the previous one; a scheduler runs
+``marlstone.plans.pipeline.run_pipeline`` once per period.
+"""
