@@ -58,7 +58,7 @@ def schema_inventory(spark: SparkSession, database: str | None = None) -> DataFr
     db = database or spark.catalog.currentDatabase()
     rows = []
     for table in sorted(spark.catalog.listTables(db), key=lambda t: t.name):
-        for col in spark.catalog.listColumns(table.name, db):
+        for col in spark.catalog.listColumns(f"{db}.{table.name}"):
             rows.append((table.name, col.name, col.dataType.upper(), col.nullable))
     schema = ("table_name string, column_name string, column_type string, "
               "nullable boolean")

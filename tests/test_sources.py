@@ -1,0 +1,78 @@
+"""Connection settings, inspection helpers and zone writes."""
+
+import pytest
+
+from marlstone.operators import describe_columns, preview, sql_type_name
+from marlstone.schemas import BRONZE
+from marlstone.sources.objectstore import bucket_root, object_store_conf
+from marlstone.sources.relational import conform, jdbc_options
+from marlstone.sources.zones import write_table
+from tests.fixtures import bronze_frames
+
+
+def test_object_store_conf_from_env():
+    conf = object_store_conf({"AWS_ACCESS_KEY_ID": "k", "AWS_SECRET_ACCESS_KEY": "s",
+                              "AWS_ENDPOINT_URL": "http://store:9000"})
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "store:9000"
+    assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    tls = object_store_conf({"AWS_ACCESS_KEY_ID": "k", "AWS_SECRET_ACCESS_KEY": "s",
+                             "AWS_ENDPOINT_URL": "https://store"})
+    assert tls["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true"
+    assert bucket_root("lake") == "s3a://lake"
+
+
+def test_object_store_conf_requires_keys():
+    with pytest.raises(KeyError, match="AWS_SECRET_ACCESS_KEY"):
+        object_store_conf({"AWS_ACCESS_KEY_ID": "k"})
+
+
+def test_jdbc_options():
+    env = {"DB_HOST": "h", "DB_PORT": "5432", "DB_NAME": "shop", "DB_USER": "u",
+           "DB_PASSWORD": "p"}
+    opts = jdbc_options(env)
+    assert opts["url"] == "jdbc:postgresql://h:5432/shop"
+    assert (opts["user"], opts["password"]) == ("u", "p")
+    with pytest.raises(KeyError, match="DB_PASSWORD"):
+        jdbc_options({k: v for k, v in env.items() if k != "DB_PASSWORD"})
+
+
+def test_describe_and_preview(spark):
+    orders = bronze_frames(spark)["staging_orders"]
+    desc = [(r.column_name, r.column_type) for r in describe_columns(orders).collect()]
+    assert desc == [("order_id", "INTEGER"), ("create_at", "TIMESTAMP"),
+                    ("website_session_id", "INTEGER"), ("user_id", "INTEGER"),
+                    ("primary_product_id", "INTEGER"), ("items_purchased", "INTEGER"),
+                    ("price_usd", "DECIMAL(12,2)"), ("cogs_usd", "DECIMAL(12,2)")]
+    assert preview(orders, 1).count() == 1
+    assert preview(orders).count() == 2     # fewer rows than the limit
+
+
+def test_sql_type_names():
+    from pyspark.sql import types as T
+    assert sql_type_name(T.LongType()) == "BIGINT"
+    assert sql_type_name(T.BooleanType()) == "BOOLEAN"
+
+
+def test_conform_casts_and_orders(spark):
+    df = spark.createDataFrame([(1.0, 7)], "price_usd double, product_id long")
+    out = conform(df, BRONZE["staging_products"].__class__(
+        [BRONZE["staging_order_items"]["product_id"],
+         BRONZE["staging_order_items"]["price_usd"]]))
+    assert out.dtypes == [("product_id", "int"), ("price_usd", "decimal(12,2)")]
+
+
+def test_write_table_rejects_wrong_schema(spark, scratch):
+    df = spark.createDataFrame([(1,)], "order_id long")
+    with pytest.raises(ValueError, match="silver.orders"):
+        write_table(df, scratch, "silver", "orders")
+
+
+def test_write_table_counts_rows(spark, scratch):
+    df = bronze_frames(spark)["staging_orders"]
+    res = write_table(df, scratch, "bronze", "staging_orders")
+    assert res.row_count == 2
+    assert spark.read.parquet(res.path).count() == 2
+    # overwrite replaces, does not append
+    assert write_table(df, scratch, "bronze", "staging_orders").row_count == 2
+    assert spark.read.parquet(res.path).count() == 2
