@@ -22,11 +22,12 @@ SPACE_SEPARATORS = (
 def trim_spaces(col: Column | str) -> Column:
     """Strip leading and trailing space separators (not tab / newline).
 
-    Spark's one-argument ``trim`` strips only U+0020; the two-argument form
-    strips any character of the given set, which is what TRIM means here.
+    Spark's ``trim`` strips only U+0020; ``btrim`` with a character set
+    strips any character of the set from both ends, which is what TRIM
+    means here.
     """
-    return F.trim(F.col(col) if isinstance(col, str) else col,
-                  F.lit(SPACE_SEPARATORS))
+    return F.btrim(F.col(col) if isinstance(col, str) else col,
+                   F.lit(SPACE_SEPARATORS))
 
 
 def normalize_text(col: Column | str, default: str | None = None,

@@ -24,8 +24,28 @@ NBSP = "\u00a0"
 TAB = "\t"
 
 
+# Declared schemas of the generated tables the adapters read: no footer
+# inference at read time, and a changed input type fails loudly.
+INPUT_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, "
+              "event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, "
+                "l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, "
+            "p_size int, p_retailprice double",
+}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    schema = INPUT_SCHEMAS.get(table)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
 
 
 def _text(value: str | None):
