@@ -7,6 +7,13 @@ side whose *measured* size is under ``autoBroadcastJoinThreshold`` is
 broadcast at runtime, anything larger is a sort-merge join on the key, and
 AQE splits a skewed key partition of the probe side. No side is broadcast by
 hint, since orders, items and refunds all grow with traffic.
+
+Shuffle budget at scale: items and orders are exchanged on order_id (J1),
+the J1 output and the refunds on order_item_id (J2). Co-locating both joins
+on order_id would save the second exchange of the wide J1 output, but only
+by letting a join run on a partitioning that covers part of its keys, which
+stops AQE from splitting a hot order_id; with one key possibly holding a
+large share of all items, the two-exchange plan is the robust one.
 """
 
 from __future__ import annotations
