@@ -26,6 +26,27 @@ JOB_CONF = {
 }
 
 
+def scale_conf(shuffle_bytes: int, total_cores: int,
+               partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle sizing for a cluster run that moves about ``shuffle_bytes``
+    through its largest exchange (for this pipeline: the fact's join input).
+
+    Starts AQE from enough partitions that each holds ~``partition_bytes``
+    (so a task's share fits in executor memory and spills little), never
+    fewer than two per core, and lets AQE coalesce toward the same advisory
+    size instead of maximising parallelism on small stages.
+    """
+    partitions = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
+    size = f"{partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": size,
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "marlstone",
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Get or create a session with ``JOB_CONF`` plus ``conf`` on top.

@@ -55,10 +55,12 @@ def test_sql_type_names():
 
 
 def test_conform_casts_and_orders(spark):
-    df = spark.createDataFrame([(1.0, 7)], "price_usd double, product_id long")
-    out = conform(df, BRONZE["staging_products"].__class__(
-        [BRONZE["staging_order_items"]["product_id"],
-         BRONZE["staging_order_items"]["price_usd"]]))
+    from pyspark.sql import types as T
+    items = BRONZE["staging_order_items"]
+    target = T.StructType([items["product_id"], items["price_usd"]])
+    df = spark.createDataFrame([(1.0, 7, "x")],
+                               "price_usd double, product_id long, extra string")
+    out = conform(df, target)
     assert out.dtypes == [("product_id", "int"), ("price_usd", "decimal(12,2)")]
 
 
