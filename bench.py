@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Prints ONE JSON line on stdout. ``queries`` holds warm wall-clock seconds
-(best of two passes after a cold one) of each registered query, executed in
+(best of three passes after a cold one) of each registered query, executed in
 full into Spark's ``noop`` sink (every row computed, nothing collected);
 ``value`` is their sum. ``pipeline`` times
 the zone stages (Bronze -> Silver, Silver -> Gold) writing Parquet into a
@@ -60,15 +60,15 @@ def main() -> None:
         df = QUERIES[name](spark, sf_dir)
         return _timed(lambda: df.write.format("noop").mode("overwrite").save())
 
-    # One cold pass (JVM warm-up, code generation), then the best of two
+    # One cold pass (JVM warm-up, code generation), then the best of three
     # warm passes: the steady state of a long-running cluster job. ``queries``
     # is the whole wall time (building the plan through py4j + executing);
     # ``execute_only`` leaves out the plan building, a constant per query that
     # does not grow with the data.
     cold = {name: _timed(lambda n=name: run(n)) for name in QUERIES}
-    warm = {name: min(_timed(lambda n=name: run(n)) for _ in range(2))
+    warm = {name: min(_timed(lambda n=name: run(n)) for _ in range(3))
             for name in QUERIES}
-    executed = {name: min(execute_only(name) for _ in range(2)) for name in QUERIES}
+    executed = {name: min(execute_only(name) for _ in range(3)) for name in QUERIES}
 
     # Zone pipeline: stage the derived Bronze tables once, then time stages.
     root = os.path.join(scratch, "lake")

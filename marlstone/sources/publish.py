@@ -74,9 +74,11 @@ class JdbcTarget:
     swap: Callable[[Sequence[str]], None] | None = None
 
     def _write(self, df: DataFrame, table: str, truncate: bool) -> None:
-        (df.coalesce(self.num_partitions).write.format("jdbc")
+        # numPartitions caps concurrent connections (Spark coalesces to it)
+        (df.write.format("jdbc")
          .options(**self.options)
          .option("dbtable", table)
+         .option("numPartitions", str(self.num_partitions))
          .option("batchsize", str(self.batch_size))
          .option("truncate", "true" if truncate else "false")
          .mode("overwrite").save())
