@@ -7,7 +7,9 @@ Prints ONE JSON line on stdout. ``queries`` holds warm wall-clock seconds
 full into Spark's ``noop`` sink (every row computed, nothing collected);
 ``value`` is their sum. ``pipeline`` times
 the zone stages (Bronze -> Silver, Silver -> Gold) writing Parquet into a
-fresh scratch folder. ``duckdb_oracle`` times the same queries' SQL oracle
+fresh scratch folder. ``io`` / ``pipeline_io`` give rows read and shuffle volume
+per query / per written zone table, from Spark's event log in the scratch
+folder. ``duckdb_oracle`` times the same queries' SQL oracle
 in an embedded single-process DuckDB, the engine class the original
 pipeline runs on, as a single-node point of comparison.
 """
@@ -36,10 +38,45 @@ def _timed(fn) -> float:
     return round(time.perf_counter() - t0, 3)
 
 
+def io_by_job(event_dir: str) -> dict[str, dict[str, int]]:
+    """Rows read and shuffle bytes written per job group / job description,
+    from Spark's event log."""
+    stage_key: dict[int, str] = {}
+    totals: dict[str, dict[str, int]] = {}
+    paths = [os.path.join(d, f) for d, _, files in os.walk(event_dir) for f in files]
+    for path in sorted(paths):
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    props = ev.get("Properties") or {}
+                    desc = props.get("spark.job.description") or ""
+                    group = props.get("spark.jobGroup.id") or ""
+                    key = f"{group}|{desc}" if desc.startswith("write ") else group
+                    if key:
+                        for sid in ev.get("Stage IDs", []):
+                            stage_key[sid] = key
+                elif kind == "SparkListenerTaskEnd":
+                    key = stage_key.get(ev.get("Stage ID"))
+                    metrics = ev.get("Task Metrics") or {}
+                    if not key or not metrics:
+                        continue
+                    t = totals.setdefault(key, {"rows_read": 0, "shuffle_bytes": 0,
+                                                "shuffle_rows": 0})
+                    t["rows_read"] += metrics.get("Input Metrics", {}).get("Records Read", 0)
+                    sw = metrics.get("Shuffle Write Metrics", {})
+                    t["shuffle_bytes"] += sw.get("Shuffle Bytes Written", 0)
+                    t["shuffle_rows"] += sw.get("Shuffle Records Written", 0)
+    return totals
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="marlstone-bench-", dir="/tmp")
+    event_dir = os.path.join(scratch, "events")
+    os.makedirs(event_dir)
 
     from marlstone.plans.pipeline import bronze_to_silver, silver_to_gold
     from marlstone.plans.registry import ORACLE_SQL, QUERIES
@@ -51,6 +88,10 @@ def main() -> None:
         "spark.sql.shuffle.partitions": str(max(8, 2 * cpus)),
         "spark.driver.memory": "16g",
         "spark.local.dir": os.path.join(scratch, "spark-local"),
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": event_dir,
+        "spark.eventLog.compress": "false",
+        "spark.eventLog.rolling.enabled": "false",
     })
 
     def run(name):
@@ -70,17 +111,32 @@ def main() -> None:
             for name in QUERIES}
     executed = {name: min(execute_only(name) for _ in range(3)) for name in QUERIES}
 
+    # One more run per query under a job group, to attribute the bytes each
+    # query reads and shuffles (from the event log, after the session ends).
+    sc = spark.sparkContext
+    for name in QUERIES:
+        sc.setJobGroup(f"measure:{name}", name)
+        run(name)
+    sc.setJobGroup("staging", "staging")
+
     # Zone pipeline: stage the derived Bronze tables once, then time stages.
     root = os.path.join(scratch, "lake")
     for table, df in bronze_tables(spark, sf_dir).items():
         write_table(df, root, "bronze", table)
-    pipeline = {
-        "bronze_to_silver": min(_timed(lambda: bronze_to_silver(spark, root))
-                                for _ in range(2)),
-        "silver_to_gold": min(_timed(lambda: silver_to_gold(spark, root))
-                              for _ in range(2)),
-    }
+
+    def stage_times(group):
+        sc.setJobGroup(group, group)
+        return {"bronze_to_silver": _timed(lambda: bronze_to_silver(spark, root)),
+                "silver_to_gold": _timed(lambda: silver_to_gold(spark, root))}
+
+    first, last = stage_times("pipeline-warmup"), stage_times("pipeline")
+    pipeline = {k: min(first[k], last[k]) for k in first}
     spark.stop()
+    io = io_by_job(event_dir)
+    volumes = {k.split(":", 1)[1]: v for k, v in io.items()
+               if k.startswith("measure:") and "|" not in k}
+    pipeline_io = {k.split("|write ", 1)[1]: v for k, v in io.items()
+                   if k.startswith("pipeline|write ")}
 
     duck = {}
     if os.environ.get("BENCH_DUCKDB", "1") == "1":
@@ -105,6 +161,8 @@ def main() -> None:
         "execute_only": executed,
         "execute_only_total": round(sum(executed.values()), 3),
         "pipeline": pipeline,
+        "io": volumes,
+        "pipeline_io": pipeline_io,
         "duckdb_oracle": duck,
         "duckdb_oracle_total": round(sum(duck.values()), 3) if duck else None,
     }))

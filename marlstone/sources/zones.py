@@ -71,8 +71,13 @@ def write_table(df: DataFrame, root: str, zone: str, table: str,
             f"the declared {expected.simpleString()}")
     path = zone_path(root, zone, table)
     obs = Observation(f"{zone}_{table}_rows")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-       .write.mode("overwrite").parquet(path))
+    sc = df.sparkSession.sparkContext
+    sc.setJobDescription(f"write {zone}.{table}")  # names the job in logs
+    try:
+        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+           .write.mode("overwrite").parquet(path))
+    finally:
+        sc.setJobDescription(None)
     return WriteResult(table, path, int(obs.get["rows"]))
 
 
