@@ -8,12 +8,16 @@ broadcast at runtime, anything larger is a sort-merge join on the key, and
 AQE splits a skewed key partition of the probe side. No side is broadcast by
 hint, since orders, items and refunds all grow with traffic.
 
-Shuffle budget at scale: items and orders are exchanged on order_id (J1),
-the J1 output and the refunds on order_item_id (J2). Co-locating both joins
-on order_id would save the second exchange of the wide J1 output, but only
-by letting a join run on a partitioning that covers part of its keys, which
-stops AQE from splitting a hot order_id; with one key possibly holding a
-large share of all items, the two-exchange plan is the robust one.
+Join order: the refunds join (J2) runs before the orders join (J1). The two
+orders give the same rows, because J2's condition only involves item
+columns, but the later exchange then carries the items plus one refund
+column instead of the items plus three order columns: with sort-merge joins
+on the sf0.1 data this moved 12.7 % fewer shuffle bytes (58.7 MB against
+67.3 MB). Both exchanges stay skew-safe: AQE can split a hot (or NULL) item
+id on the kept side of J2 and a hot order_id on either side of J1.
+Co-locating both joins on order_id would save one exchange, but only by
+letting a join run on a partitioning that covers part of its keys, which
+stops AQE from splitting a hot order_id.
 """
 
 from __future__ import annotations
@@ -41,8 +45,8 @@ def fact_order_items(order_items: DataFrame, orders: DataFrame,
         "website_session_id", "user_id")
     r = refunds.select("order_item_id", "refund_amount_usd")
 
-    joined = (oi.join(o, on="order_id", how="inner")
-                .join(r, on="order_item_id", how="left"))
+    joined = (oi.join(r, on="order_item_id", how="left")
+                .join(o, on="order_id", how="inner"))
     return joined.select(
         "order_item_id",
         "order_id",
