@@ -12,7 +12,10 @@ Both marts aggregate the fact, the largest table, down to a few rows per key
 * session conversion keeps the rule's shape (join, then COUNT DISTINCT),
   which Spark plans as an aggregate on (channel keys, order_id) followed by
   a count; the only full-size shuffle is the fact -> session join, whose
-  skewed partitions AQE splits.
+  skewed partitions AQE splits. De-duplicating (session, order) pairs
+  before the join was measured and rejected: it shuffles fewer rows but the
+  pairs cross two exchanges, 14.5 MB against 13.3 MB with sort-merge joins
+  at sf0.1.
 """
 
 from __future__ import annotations
