@@ -10,6 +10,7 @@ stage starts from files, not from a recomputation of the previous stage).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -71,16 +72,29 @@ def write_table(df: DataFrame, root: str, zone: str, table: str,
             f"the declared {expected.simpleString()}")
     path = zone_path(root, zone, table)
     obs = Observation(f"{zone}_{table}_rows")
-    sc = df.sparkSession.sparkContext
-    sc.setJobDescription(f"write {zone}.{table}")  # names the job in logs
-    try:
+    with _job_description(df.sparkSession, f"write {zone}.{table}"):
         (df.observe(obs, F.count(F.lit(1)).alias("rows"))
            .write.mode("overwrite").parquet(path))
-    finally:
-        sc.setJobDescription(None)
     return WriteResult(table, path, int(obs.get["rows"]))
 
 
+@contextmanager
+def _job_description(spark: SparkSession, text: str):
+    """Name the jobs of a block in the event log / monitoring (best effort:
+    a Spark Connect session has no SparkContext and is left unlabelled)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        sc = None
+    if sc is not None:
+        sc.setJobDescription(text)
+    try:
+        yield
+    finally:
+        if sc is not None:
+            sc.setJobDescription(None)
+
+
 def count_rows(spark: SparkSession, path: str) -> int:
     """Row count of a written table (answered from Parquet metadata)."""
     return spark.read.parquet(path).count()
