@@ -7,6 +7,7 @@ join partition (thresholds lowered so the effect shows at test size).
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,42 @@ def test_hot_session_conversion_is_split_and_exact(spark, forced_smj):
     want = {r.utm_source: r.n for r in pairs.collect()}
     assert {k: v[1] for k, v in got.items()} == want
     assert sum(v[0] for v in got.values()) == 5000
+
+
+def test_hot_refund_item_is_split_and_exact(spark, forced_smj):
+    """A third of all refunds are on one item: the refunds side of J2 is the
+    hot one, which a left outer join could not split."""
+    items, orders, _, _ = _silver(spark)
+    m = 3 * N
+    refunds = spark.range(m).select(
+        F.when(F.col("id") % 3 == 0, HOT).otherwise(F.col("id") % (2 * N))
+         .cast("int").alias("order_item_id"),
+        (F.col("id") % 7).cast("double").alias("refund_amount_usd"))
+    # plus items whose id is NULL: kept once, with no refund
+    nulls = spark.range(5).select(
+        F.lit(None).cast("int").alias("order_item_id"),
+        F.lit(None).cast("timestamp_ntz").alias("created_at"),
+        F.lit(1).cast("int").alias("order_id"),
+        F.lit(1).cast("int").alias("product_id"),
+        F.lit(True).alias("is_primary_item"),
+        F.lit(3.0).alias("price_usd"),
+        F.lit(1.0).alias("cogs_usd"))
+    items = items.unionByName(nulls)
+    fact = fact_order_items(items, orders, refunds)
+    plan = final_plan(fact)
+    assert re.search(r"SortMergeJoin\(skew=true\) \[order_item_id#\d+\], "
+                     r"\[order_item_id#\d+\], Inner", plan)
+    direct = (items.join(refunds, "order_item_id", "left")
+              .join(orders.select("order_id"), "order_id"))
+    cols = ["order_item_id", "order_id", "refund"]
+    got = (fact.select("order_item_id", "order_id",
+                       F.col("refund_amount_usd").alias("refund"))
+           .groupBy(*cols).count())
+    want = (direct.select("order_item_id", "order_id",
+                          F.coalesce("refund_amount_usd", F.lit(0.0)).alias("refund"))
+            .groupBy(*cols).count())
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    hot = refunds.where(F.col("order_item_id") == HOT).count()
+    assert hot >= m // 3
+    assert fact.where(F.col("order_item_id") == HOT).count() == hot
+    assert fact.where(F.col("order_item_id").isNull()).count() == 5
