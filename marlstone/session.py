@@ -23,6 +23,10 @@ JOB_CONF = {
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    # Building a plan in PySpark otherwise records the Python call site of
+    # every column function (several JVM round trips each) for error
+    # messages; batch jobs build large plans and do not need it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -48,8 +48,16 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return reader.parquet(path)
 
 
-def _text(value: str | None):
-    return F.lit(value).cast("string")
+# Each adapter is one projection written as SQL expressions: a row-wise
+# rule per column, one plan node per table, and one call into the JVM per
+# projection rather than one per sub-expression.
+
+_MONEY = f"DECIMAL({MONEY.precision},{MONEY.scale})"
+_ITEM_KEY = "l_orderkey * 10 + l_linenumber"
+
+
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*(f"{expr} AS {name}" for name, expr in columns.items()))
 
 
 def item_key(orderkey: str = "l_orderkey", linenumber: str = "l_linenumber"):
@@ -58,63 +66,53 @@ def item_key(orderkey: str = "l_orderkey", linenumber: str = "l_linenumber"):
 
 
 def staging_website_sessions(events: DataFrame) -> DataFrame:
-    eid, etype = F.col("event_id"), F.col("event_type")
-    return events.select(
-        eid.cast("int").alias("website_session_id"),
-        F.col("ts").cast("timestamp_ntz").alias("created_at"),
-        F.col("user_id").cast("int").alias("user_id"),
-        (eid % 2).cast("int").alias("is_repeat_session"),
-        F.when(etype == "signup", _text(None))
-         .when(etype == "error", F.lit("  "))
-         .otherwise(F.concat(F.lit("  "), F.upper(etype), F.lit(" ")))
-         .alias("utm_source"),
-        F.when(eid % 4 == 0, _text(None))
-         .otherwise(F.concat(F.lit(" Camp"), (eid % 4).cast("string"), F.lit(" ")))
-         .alias("utm_campaign"),
-        F.when(eid % 5 == 0, _text(None))
-         .when(eid % 5 == 1, F.lit(" Banner" + NBSP))
-         .when(eid % 5 == 2, F.lit("Banner" + TAB))
-         .otherwise(F.lit("Banner "))
-         .alias("utm_content"),
-        F.when(eid % 3 == 0, F.lit(" Desktop"))
-         .when(eid % 3 == 1, F.lit("MOBILE"))
-         .otherwise(_text(None))
-         .alias("device_type"),
-        F.when(eid % 7 == 0, _text(None))
-         .otherwise(F.concat(F.lit(" https://Www.Site"), (eid % 7).cast("string"),
-                             F.lit(".com ")))
-         .alias("http_referer"),
-    )
+    return _project(events, {
+        "website_session_id": "CAST(event_id AS INT)",
+        "created_at": "CAST(ts AS TIMESTAMP_NTZ)",
+        "user_id": "CAST(user_id AS INT)",
+        "is_repeat_session": "CAST(event_id % 2 AS INT)",
+        "utm_source": "CASE WHEN event_type = 'signup' THEN CAST(NULL AS STRING)"
+                      " WHEN event_type = 'error' THEN '  '"
+                      " ELSE concat('  ', upper(event_type), ' ') END",
+        "utm_campaign": "CASE WHEN event_id % 4 = 0 THEN CAST(NULL AS STRING)"
+                        " ELSE concat(' Camp', CAST(event_id % 4 AS STRING), ' ') END",
+        "utm_content": "CASE WHEN event_id % 5 = 0 THEN CAST(NULL AS STRING)"
+                       f" WHEN event_id % 5 = 1 THEN ' Banner{NBSP}'"
+                       f" WHEN event_id % 5 = 2 THEN 'Banner{TAB}'"
+                       " ELSE 'Banner ' END",
+        "device_type": "CASE WHEN event_id % 3 = 0 THEN ' Desktop'"
+                       " WHEN event_id % 3 = 1 THEN 'MOBILE'"
+                       " ELSE CAST(NULL AS STRING) END",
+        "http_referer": "CASE WHEN event_id % 7 = 0 THEN CAST(NULL AS STRING)"
+                        " ELSE concat(' https://Www.Site', CAST(event_id % 7 AS STRING),"
+                        " '.com ') END",
+    })
 
 
 def staging_website_pageviews(events: DataFrame) -> DataFrame:
-    eid = F.col("event_id")
-    return events.select(
-        eid.cast("int").alias("website_pageview_id"),
-        F.col("ts").cast("timestamp_ntz").alias("create_at"),
-        eid.cast("int").alias("website_session_id"),
-        F.when(eid % 9 == 0, _text(None))
-         .otherwise(F.concat(F.lit(" /"), F.upper("event_type"), F.lit(" ")))
-         .alias("pageview_url"),
-    )
+    return _project(events, {
+        "website_pageview_id": "CAST(event_id AS INT)",
+        "create_at": "CAST(ts AS TIMESTAMP_NTZ)",
+        "website_session_id": "CAST(event_id AS INT)",
+        "pageview_url": "CASE WHEN event_id % 9 = 0 THEN CAST(NULL AS STRING)"
+                        " ELSE concat(' /', upper(event_type), ' ') END",
+    })
 
 
 def staging_orders(orders: DataFrame) -> DataFrame:
-    okey, total = F.col("o_orderkey"), F.col("o_totalprice")
-    price = (F.when(okey % 50 == 0, F.lit(None).cast("double"))
-              .when(okey % 40 == 0, -total)
-              .otherwise(total))
-    return orders.select(
-        okey.cast("int").alias("order_id"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("create_at"),
-        okey.cast("int").alias("website_session_id"),
-        F.col("o_custkey").cast("int").alias("user_id"),
-        F.col("o_custkey").cast("int").alias("primary_product_id"),
-        F.lit(1).alias("items_purchased"),
-        price.cast(MONEY).alias("price_usd"),
+    return _project(orders, {
+        "order_id": "CAST(o_orderkey AS INT)",
+        "create_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
+        "website_session_id": "CAST(o_orderkey AS INT)",
+        "user_id": "CAST(o_custkey AS INT)",
+        "primary_product_id": "CAST(o_custkey AS INT)",
+        "items_purchased": "1",
+        "price_usd": "CAST(CASE WHEN o_orderkey % 50 = 0 THEN CAST(NULL AS DOUBLE)"
+                     " WHEN o_orderkey % 40 = 0 THEN -o_totalprice"
+                     f" ELSE o_totalprice END AS {_MONEY})",
         # whole dollars: a half-cent double -> decimal cast is engine-specific
-        F.floor(total / 2).cast(MONEY).alias("cogs_usd"),
-    )
+        "cogs_usd": f"CAST(floor(o_totalprice / 2) AS {_MONEY})",
+    })
 
 
 def staging_order_items(lineitem: DataFrame) -> DataFrame:
@@ -127,44 +125,41 @@ def staging_order_items(lineitem: DataFrame) -> DataFrame:
         F.min("l_extendedprice").alias("extendedprice"),
         F.min("l_quantity").alias("quantity"),
     )
-    key, part = F.col("item_key"), F.col("partkey")
-    return items.select(
-        key.cast("int").alias("order_item_id"),
-        F.col("shipdate").cast("timestamp_ntz").alias("create_at"),
-        F.col("l_orderkey").cast("int").alias("order_id"),
+    return _project(items, {
+        "order_item_id": "CAST(item_key AS INT)",
+        "create_at": "CAST(shipdate AS TIMESTAMP_NTZ)",
+        "order_id": "CAST(l_orderkey AS INT)",
         # every tenth part number is re-pointed to a product that does not
         # exist: those parts stay unsold, those items have no product
-        F.when(part % 10 == 3, -(part + 1)).otherwise(part).cast("int")
-         .alias("product_id"),
-        F.when(F.col("linenumber") == 1, 1).otherwise(0).alias("is_primary_item"),
-        F.when(key % 101 == 0, F.lit(None).cast("double"))
-         .otherwise(F.col("extendedprice") - 2000).cast(MONEY).alias("price_usd"),
-        (F.col("quantity") * 10).cast(MONEY).alias("cogs_usd"),
-    )
+        "product_id": "CAST(CASE WHEN partkey % 10 = 3 THEN -(partkey + 1)"
+                      " ELSE partkey END AS INT)",
+        "is_primary_item": "CASE WHEN linenumber = 1 THEN 1 ELSE 0 END",
+        "price_usd": "CAST(CASE WHEN item_key % 101 = 0 THEN CAST(NULL AS DOUBLE)"
+                     f" ELSE extendedprice - 2000 END AS {_MONEY})",
+        "cogs_usd": f"CAST(quantity * 10 AS {_MONEY})",
+    })
 
 
 def staging_products(part: DataFrame) -> DataFrame:
-    return part.select(
-        F.col("p_partkey").cast("int").alias("product_id"),
-        F.lit("2024-01-01 09:00:00").cast("timestamp_ntz").alias("create_at"),
-        F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("product_name"),
-    )
+    return _project(part, {
+        "product_id": "CAST(p_partkey AS INT)",
+        "create_at": "TIMESTAMP_NTZ '2024-01-01 09:00:00'",
+        "product_name": "concat(' ', p_name, ' ')",
+    })
 
 
 def staging_order_item_refunds(lineitem: DataFrame) -> DataFrame:
     """Returned, discounted lines are refunds. Not merged per item id, so an
     item can have several refunds (fan-out in the fact)."""
-    key, price = item_key(), F.col("l_extendedprice")
-    refunded = lineitem.where((F.col("l_returnflag") == "R")
-                              & (F.col("l_discount") > 0.05))
-    return refunded.select(
-        key.cast("int").alias("order_item_refund_id"),
-        F.col("l_shipdate").cast("timestamp_ntz").alias("create_at"),
-        key.cast("int").alias("order_item_id"),
-        F.col("l_orderkey").cast("int").alias("order_id"),
-        F.when(key % 13 == 0, -price).otherwise(price).cast(MONEY)
-         .alias("refund_amount_usd"),
-    )
+    refunded = lineitem.where("l_returnflag = 'R' AND l_discount > 0.05")
+    return _project(refunded, {
+        "order_item_refund_id": f"CAST({_ITEM_KEY} AS INT)",
+        "create_at": "CAST(l_shipdate AS TIMESTAMP_NTZ)",
+        "order_item_id": f"CAST({_ITEM_KEY} AS INT)",
+        "order_id": "CAST(l_orderkey AS INT)",
+        "refund_amount_usd": f"CAST(CASE WHEN ({_ITEM_KEY}) % 13 = 0 THEN -l_extendedprice"
+                             f" ELSE l_extendedprice END AS {_MONEY})",
+    })
 
 
 # Bronze table -> (generated table it is derived from, adapter)
