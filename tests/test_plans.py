@@ -52,6 +52,32 @@ def test_fact_scans_read_only_needed_columns(spark, root):
     assert not any("primary_product_id" in s for s in schemas)
 
 
+def test_refunds_join_shuffles_items_once(spark, root):
+    """J2 as inner + anti join: the items exchange is built once and reused
+    by the anti join, refunded ids are de-duplicated map-side, and the
+    NULL-id pass-through is answered by the Parquet reader's IS NULL filter."""
+    from marlstone.operators import fact_order_items
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        fact = fact_order_items(read_table(spark, root, "silver", "order_items"),
+                                read_table(spark, root, "silver", "orders"),
+                                read_table(spark, root, "silver", "order_item_refunds"))
+        fact.collect()
+        plan = plan_text(fact)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    final = plan.split("== Initial Plan ==")[0]
+    assert re.search(r"SortMergeJoin.*Inner", final)
+    assert re.search(r"SortMergeJoin.*LeftAnti", final)
+    assert "ReusedExchange" in final
+    assert re.search(r"PushedFilters: \[IsNull\(order_item_id\)", plan)
+
+
 def test_product_mart_pre_aggregates_the_fact(spark, root):
     mart = mart_product_performance(read_table(spark, root, "gold", "dim_products"),
                                     read_table(spark, root, "gold", "fact_order_items"))
