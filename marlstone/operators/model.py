@@ -48,15 +48,17 @@ def refunds_left_join(items: DataFrame, refunds: DataFrame) -> DataFrame:
     Parquet source answers from row-group statistics.
     """
     key = F.col("order_item_id")
-    no_refund = F.lit(None).cast("double").alias("refund_amount_usd")
+    # the refund columns of an unmatched item: NULL, typed like the refunds
+    no_refund = [F.lit(None).cast(f.dataType).alias(f.name)
+                 for f in refunds.schema.fields if f.name != "order_item_id"]
     keyed = items.where(key.isNotNull())
     refunded = keyed.join(refunds, on="order_item_id", how="inner")
     refunded_ids = refunds.select("order_item_id").distinct()
     unrefunded = keyed.join(refunded_ids, on="order_item_id", how="left_anti")
     unkeyed = items.where(key.isNull())
     return (refunded
-            .unionByName(unrefunded.select("*", no_refund))
-            .unionByName(unkeyed.select("*", no_refund)))
+            .unionByName(unrefunded.select("*", *no_refund))
+            .unionByName(unkeyed.select("*", *no_refund)))
 
 
 def fact_order_items(order_items: DataFrame, orders: DataFrame,

@@ -159,3 +159,23 @@ def test_conversion_rate_rounding(spark):
     mart = mart_session_conversion(sessions, fact).first()
     assert (mart.total_sessions, mart.total_orders) == (4000, 23)
     assert mart.conversion_rate_percent == 0.57
+
+
+def test_refunds_left_join_equals_left_join(spark):
+    """J2 helper: same rows as a plain left join, for any refund columns,
+    with repeated, missing and NULL item ids on both sides."""
+    from marlstone.operators.model import refunds_left_join
+    items = spark.createDataFrame(
+        [(1, "a"), (2, "b"), (3, "c"), (None, "n1"), (None, "n2")],
+        "order_item_id int, tag string")
+    refunds = spark.createDataFrame(
+        [(2, 5.0, 20), (2, 6.0, 21), (3, None, 22), (9, 1.0, 23), (None, 7.0, 24)],
+        "order_item_id int, refund_amount_usd double, refund_id int")
+    got = refunds_left_join(items, refunds)
+    want = items.join(refunds, "order_item_id", "left")
+    assert sorted(got.columns) == sorted(want.columns)
+    assert got.schema["refund_id"].dataType == want.schema["refund_id"].dataType
+    cols = sorted(want.columns)
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+    assert want.select(cols).exceptAll(got.select(cols)).count() == 0
+    assert got.count() == 6
