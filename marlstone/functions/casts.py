@@ -15,20 +15,20 @@ def _c(col: Column | str) -> Column:
 
 
 def as_int(col: Column | str) -> Column:
-    """CAST(x AS INTEGER). Inputs are integers; overflow raises under ANSI."""
+    """CAST(x AS INTEGER). Inputs are integers; overflow raises under ANSI."""
     return _c(col).cast("int")
 
 
 def as_timestamp(col: Column | str) -> Column:
-    """CAST(x AS TIMESTAMP) as a zone-less timestamp."""
+    """CAST(x AS TIMESTAMP) as a zone-less timestamp."""
     return _c(col).cast("timestamp_ntz")
 
 
 def as_flag(col: Column | str) -> Column:
-    """CAST(int AS BOOLEAN): 0 -> false, other -> true, NULL -> NULL."""
+    """CAST(int AS BOOLEAN): 0 -> false, other -> true, NULL -> NULL."""
     return _c(col).cast("boolean")
 
 
 def as_money(col: Column | str) -> Column:
-    """CAST(decimal AS DOUBLE): nearest double of the decimal value."""
+    """CAST(decimal AS DOUBLE): nearest double of the decimal value."""
     return _c(col).cast("double")

@@ -42,8 +42,8 @@ def mart_product_performance(dim_products: DataFrame,
                              fact: DataFrame) -> DataFrame:
     """Every product, with units, revenue, refunds and profit.
 
-    A1: COUNT of fact item ids, so 0 for an unsold product; A2-A4: SUMs that
-    stay NULL for an unsold product; J3: fact rows whose product is not in
+    A1: COUNT of fact item ids, so 0 for an unsold product; A2 revenue, A3
+    refunds, A4 profit: SUMs that stay NULL for an unsold product; J3: fact rows whose product is not in
     the dimension are not reported; A5: grouped by (product_id, name).
     """
     totals = product_fact_totals(fact)
