@@ -4,13 +4,24 @@ Every stage reads the previous zone's files and replaces its own zone's
 tables, one Spark job per table. Stages hand over by files only, so each is
 restartable on its own, and no stage ever reads and overwrites the same
 directory.
+
+Within the Silver and Gold stages the table writes that do not depend on
+each other are submitted as concurrent Spark jobs (one driver thread each),
+so a small table's job does not leave the rest of the cluster idle and the
+tail of one job overlaps the next; the scheduler shares the executors. A
+stage still fails as a whole: when a write fails, the writes already running
+finish, then the first error (in table order) is raised and no later stage
+runs. Extract and publish stay sequential: they are bound by the database,
+and publish keeps the per-table order of its transactions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import threading
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import InheritableThread
 from pyspark.sql import SparkSession
 
 from marlstone.operators import (
@@ -30,42 +41,89 @@ def extract_to_bronze(spark: SparkSession, source: TableSource, root: str,
     return [write_table(source.read(spark, t), root, "bronze", t) for t in tables]
 
 
-def bronze_to_silver(spark: SparkSession, root: str,
-                     tables: Sequence[str] = SOURCE_TABLES) -> list[WriteResult]:
-    """Clean each Bronze table into its Silver table (map-only jobs)."""
-    results = []
-    for bronze in tables:
-        silver = BRONZE_TO_SILVER[bronze]
-        cleaned = CLEANERS[bronze](read_table(spark, root, "bronze", bronze))
-        results.append(write_table(cleaned, root, "silver", silver))
-    return results
+def write_concurrently(spark: SparkSession,
+                       writes: Sequence[Callable[[], WriteResult]],
+                       max_jobs: int) -> list[WriteResult]:
+    """Run independent table writes as concurrent Spark jobs; results in the
+    given order. All started writes finish before the first error (in the
+    given order) is raised.
+
+    The driver threads are ``InheritableThread``s, so each job carries the
+    caller's job group, description and other local properties (cancelling
+    the caller's job group cancels these jobs too).
+    """
+    if max_jobs <= 1 or len(writes) <= 1:
+        return [w() for w in writes]
+    results: list[WriteResult | None] = [None] * len(writes)
+    errors: list[BaseException | None] = [None] * len(writes)
+    queue = list(range(len(writes)))
+    lock = threading.Lock()
+
+    def worker() -> None:
+        while True:
+            with lock:
+                if not queue:
+                    return
+                i = queue.pop(0)
+            try:
+                results[i] = writes[i]()
+            except BaseException as e:  # re-raised on the calling thread
+                errors[i] = e
+
+    threads = [InheritableThread(worker, session=spark)
+               for _ in range(min(max_jobs, len(writes)))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    for e in errors:
+        if e is not None:
+            raise e
+    return results  # type: ignore[return-value]
 
 
-def silver_to_gold(spark: SparkSession, root: str) -> list[WriteResult]:
+def bronze_to_silver(spark: SparkSession, root: str,
+                     tables: Sequence[str] = SOURCE_TABLES,
+                     max_jobs: int = 4) -> list[WriteResult]:
+    """Clean each Bronze table into its Silver table (map-only jobs,
+    up to ``max_jobs`` at a time)."""
+    def clean(bronze: str) -> Callable[[], WriteResult]:
+        def write() -> WriteResult:
+            cleaned = CLEANERS[bronze](read_table(spark, root, "bronze", bronze))
+            return write_table(cleaned, root, "silver", BRONZE_TO_SILVER[bronze])
+        return write
+    return write_concurrently(spark, [clean(t) for t in tables], max_jobs)
+
+
+def silver_to_gold(spark: SparkSession, root: str,
+                   max_jobs: int = 4) -> list[WriteResult]:
     """Fact and dimensions first, then the marts *from the written Gold
-    tables* (they read what this stage just wrote, not a recomputation)."""
+    tables* (they read what this stage just wrote, not a recomputation).
+    Each of the two waves runs its writes concurrently."""
     def silver(t):
         return read_table(spark, root, "silver", t)
 
     def gold(t):
         return read_table(spark, root, "gold", t)
 
-    results = [
-        write_table(fact_order_items(silver("order_items"), silver("orders"),
-                                     silver("order_item_refunds")),
-                    root, "gold", "fact_order_items"),
-        write_table(dim_products(silver("products")), root, "gold", "dim_products"),
-        write_table(dim_website_sessions(silver("website_sessions")),
-                    root, "gold", "dim_website_sessions"),
-    ]
-    results.append(write_table(
-        mart_product_performance(gold("dim_products"), gold("fact_order_items")),
-        root, "gold", "mart_product_performance"))
-    results.append(write_table(
-        mart_session_conversion(gold("dim_website_sessions"),
-                                gold("fact_order_items")),
-        root, "gold", "mart_session_conversion"))
-    return results
+    model = write_concurrently(spark, [
+        lambda: write_table(fact_order_items(silver("order_items"), silver("orders"),
+                                             silver("order_item_refunds")),
+                            root, "gold", "fact_order_items"),
+        lambda: write_table(dim_products(silver("products")),
+                            root, "gold", "dim_products"),
+        lambda: write_table(dim_website_sessions(silver("website_sessions")),
+                            root, "gold", "dim_website_sessions"),
+    ], max_jobs)
+    marts = write_concurrently(spark, [
+        lambda: write_table(mart_product_performance(gold("dim_products"),
+                                                     gold("fact_order_items")),
+                            root, "gold", "mart_product_performance"),
+        lambda: write_table(mart_session_conversion(gold("dim_website_sessions"),
+                                                    gold("fact_order_items")),
+                            root, "gold", "mart_session_conversion"),
+    ], max_jobs)
+    return model + marts
 
 
 @dataclass
