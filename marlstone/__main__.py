@@ -67,6 +67,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--target", help="jdbc | catalog:<db>")
     run.add_argument("--partitions", type=int, default=8,
                      help="JDBC read slices / write connections")
+    run.add_argument("--max-jobs", type=int, default=4,
+                     help="concurrent table writes in the silver / gold stages")
 
     prev = sub.add_parser("preview", help="describe and preview a zone table")
     prev.add_argument("--root", required=True)
@@ -88,7 +90,7 @@ def main(argv: list[str] | None = None) -> int:
         result = run_pipeline(spark, args.root,
                               source=_source(args.source, args.partitions),
                               target=_target(args.target, args.partitions),
-                              stages=args.stages)
+                              stages=args.stages, max_jobs=args.max_jobs)
         for stage, rows in result.stages.items():
             for r in rows:
                 print(json.dumps({"stage": stage, **asdict(r)}))

@@ -136,10 +136,13 @@ class PipelineRun:
 def run_pipeline(spark: SparkSession, root: str,
                  source: TableSource | None = None,
                  target: ServingTarget | None = None,
-                 stages: Sequence[str] = STAGES) -> PipelineRun:
+                 stages: Sequence[str] = STAGES,
+                 max_jobs: int = 4) -> PipelineRun:
     """Run the requested stages in the fixed order extract -> silver ->
     gold -> publish; the first failing stage raises and later stages do not
-    run. ``extract`` needs ``source``, ``publish`` needs ``target``."""
+    run. ``extract`` needs ``source``, ``publish`` needs ``target``.
+    ``max_jobs`` caps the concurrent table writes of the silver and gold
+    stages (1 = one table at a time)."""
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
@@ -152,9 +155,9 @@ def run_pipeline(spark: SparkSession, root: str,
                 raise ValueError("the extract stage needs a source")
             run.stages[stage] = extract_to_bronze(spark, source, root)
         elif stage == "silver":
-            run.stages[stage] = bronze_to_silver(spark, root)
+            run.stages[stage] = bronze_to_silver(spark, root, max_jobs=max_jobs)
         elif stage == "gold":
-            run.stages[stage] = silver_to_gold(spark, root)
+            run.stages[stage] = silver_to_gold(spark, root, max_jobs=max_jobs)
         else:
             if target is None:
                 raise ValueError("the publish stage needs a target")
