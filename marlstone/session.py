@@ -9,8 +9,9 @@ coalesces small shuffle partitions.
 from __future__ import annotations
 
 import os
+import re
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the pipeline wants, cluster or local.
 JOB_CONF = {
@@ -51,6 +52,37 @@ def scale_conf(shuffle_bytes: int, total_cores: int,
     }
 
 
+_BYTE_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20,
+               "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40,
+               "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
+
+
+def byte_size(text: str) -> int:
+    """A Spark byte-size setting ("10MB", "10485760b", "64m", "-1") in bytes."""
+    m = re.fullmatch(r"\s*(-?)([0-9]+)\s*([a-z]*)\s*", text.lower())
+    if not m or m.group(3) not in _BYTE_UNITS:
+        raise ValueError(f"not a byte size: {text!r}")
+    value = int(m.group(2)) * _BYTE_UNITS[m.group(3)]
+    return -value if m.group(1) else value
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (negative = off)."""
+    return byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (the statistic behind its own
+    static broadcast decision: file sizes scaled to the projected columns;
+    filters do not lower it, so it bounds the data from above). None where
+    it is not available, e.g. on Spark Connect."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(str(size))  # a Python int already, or a JVM BigInt
+    except Exception:
+        return None
+
+
 def build_session(master: str | None = None, app_name: str = "marlstone",
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Get or create a session with ``JOB_CONF`` plus ``conf`` on top.

@@ -1,6 +1,6 @@
 """Gold chain on generated Silver inputs against the rules written as plain SQL.
 
-The fact (split refunds join), the product mart (pre-aggregated before the
+The fact (both forms of the refunds join), the product mart (pre-aggregated before the
 dimension join) and the conversion mart (two-phase distinct count) are
 restructured for scale; here they must equal the straightforward SQL of the
 rules for any input, including the cases the sample data never has:
@@ -144,6 +144,10 @@ def test_gold_equals_rule_sql(spark, o, oi, r, p, s):
     want_fact = _sorted(con.sql(RULES + "SELECT * FROM fact").fetchall())
     # same association order of the subtraction, so doubles are bit-equal
     assert _sorted([tuple(x) for x in fact.collect()]) == want_fact
+    # the small refunds above are broadcast; the form for large refunds too
+    split = fact_order_items(frames["order_items"], frames["orders"],
+                             frames["order_item_refunds"], refunds_broadcast_bytes=-1)
+    assert _sorted([tuple(x) for x in split.collect()]) == want_fact
 
     mart = mart_product_performance(dim_products(frames["products"]), fact)
     assert mart.columns == GOLD["mart_product_performance"].names

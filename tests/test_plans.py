@@ -52,6 +52,22 @@ def test_fact_scans_read_only_needed_columns(spark, root):
     assert not any("primary_product_id" in s for s in schemas)
 
 
+def test_small_refunds_are_broadcast_and_items_read_once(spark, root):
+    """J2 with refunds under the broadcast limit: one broadcast left join,
+    so the items are scanned once and not shuffled for it."""
+    from marlstone.operators import fact_order_items
+    fact = fact_order_items(read_table(spark, root, "silver", "order_items"),
+                            read_table(spark, root, "silver", "orders"),
+                            read_table(spark, root, "silver", "order_item_refunds"))
+    plan = plan_text(fact)
+    initial = plan.split("== Initial Plan ==")[-1]
+    assert re.search(r"BroadcastHashJoin.*LeftOuter", initial)
+    assert "Union" not in initial and "LeftAnti" not in initial
+    item_scans = [line for line in plan.splitlines()
+                  if line.startswith("Location:") and "/order_items]" in line]
+    assert len(item_scans) == 1, item_scans
+
+
 def test_refunds_join_shuffles_items_once(spark, root):
     """J2 as inner + anti join: the items exchange is built once and reused
     by the anti join, refunded ids are de-duplicated map-side, and the

@@ -5,6 +5,7 @@ import os
 from marlstone.schemas import BRONZE
 from marlstone.session import checkpoint_dir, scale_conf
 from marlstone.sources.zones import write_table
+from tests.conftest import SF_SMALL
 
 
 def test_scale_conf_sizes_partitions():
@@ -32,3 +33,26 @@ def test_empty_table_write_counts_zero(spark, scratch):
     res = write_table(empty, scratch, "bronze", "staging_order_item_refunds")
     assert res.row_count == 0
     assert spark.read.parquet(res.path).count() == 0
+
+
+def test_byte_sizes_and_broadcast_limit(spark):
+    from marlstone.session import broadcast_limit, byte_size
+    assert byte_size("10MB") == 10 << 20
+    assert byte_size("10485760b") == byte_size("10485760") == 10 << 20
+    assert byte_size("64m") == 64 << 20 and byte_size("1g") == 1 << 30
+    assert byte_size("-1") == -1
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert broadcast_limit(spark) == -1
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20m")
+        assert broadcast_limit(spark) == 20 << 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_size_estimate_scales_with_the_input(spark):
+    from marlstone.session import estimated_bytes
+    small = estimated_bytes(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
+    large = estimated_bytes(spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet"))
+    assert 0 < small < large
