@@ -54,3 +54,30 @@ def test_one_job_at_a_time_runs_on_the_calling_thread(spark):
     caller = threading.get_ident()
     assert write_concurrently(spark, [lambda: threading.get_ident()] * 2,
                               max_jobs=1) == [caller, caller]
+
+
+def test_silver_stage_fails_as_a_whole_but_writes_the_other_tables(spark, scratch):
+    """A missing Bronze table fails the stage; the other five Silver tables,
+    written concurrently, are complete."""
+    import os
+    import tempfile
+
+    from pyspark.errors import AnalysisException
+
+    from marlstone.plans.pipeline import bronze_to_silver
+    from marlstone.schemas import BRONZE_TO_SILVER
+    from marlstone.sources.zones import read_table, write_table, zone_path
+    from tests.fixtures import SAMPLE_ROWS, bronze_frames
+
+    root = tempfile.mkdtemp(prefix="fail-", dir=scratch)
+    missing = "staging_orders"
+    for table, df in bronze_frames(spark).items():
+        if table != missing:
+            write_table(df, root, "bronze", table)
+    with pytest.raises(AnalysisException):
+        bronze_to_silver(spark, root)
+    for bronze, silver in BRONZE_TO_SILVER.items():
+        written = os.path.isdir(zone_path(root, "silver", silver))
+        assert written == (bronze != missing), silver
+    assert (read_table(spark, root, "silver", "website_sessions").count()
+            == len(SAMPLE_ROWS["staging_website_sessions"]))
