@@ -17,6 +17,7 @@ and publish keeps the per-table order of its transactions.
 
 from __future__ import annotations
 
+import functools
 import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -56,22 +57,17 @@ def write_concurrently(spark: SparkSession,
         return [w() for w in writes]
     results: list[WriteResult | None] = [None] * len(writes)
     errors: list[BaseException | None] = [None] * len(writes)
-    queue = list(range(len(writes)))
-    lock = threading.Lock()
-
-    def worker() -> None:
-        while True:
-            with lock:
-                if not queue:
-                    return
-                i = queue.pop(0)
+    slots = threading.BoundedSemaphore(max_jobs)
+
+    def run(i: int) -> None:
+        with slots:
             try:
                 results[i] = writes[i]()
             except BaseException as e:  # re-raised on the calling thread
                 errors[i] = e
 
-    threads = [InheritableThread(worker, session=spark)
-               for _ in range(min(max_jobs, len(writes)))]
+    threads = [InheritableThread(functools.partial(run, i), session=spark)
+               for i in range(len(writes))]
     for t in threads:
         t.start()
     for t in threads:
