@@ -39,6 +39,23 @@ def trim_spaces(col: Column | str) -> Column:
     return F.when(at_ends, F.btrim(spaced, F.lit(SPACE_SEPARATORS))).otherwise(spaced)
 
 
+# The two characters whose lower case in the JVM (full Unicode
+# case mapping) differs from the simple one-to-one mapping of the SQL LOWER
+# the rules are specified against: capital I with dot above (the JVM gives
+# "i" followed by U+0307) and capital sigma (the JVM gives the final sigma
+# U+03C2 at the end of a word). Each maps to its simple lower case.
+SIMPLE_LOWER_CASE = {"\u0130": "i", "\u03a3": "\u03c3"}
+
+
+def lower_simple(col: Column | str) -> Column:
+    """LOWER by the simple one-to-one case mapping (X5): the two characters
+    the JVM lowers differently are mapped first; all others are lowered by
+    ``lower`` itself, identically."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.lower(F.translate(c, "".join(SIMPLE_LOWER_CASE),
+                               "".join(SIMPLE_LOWER_CASE.values())))
+
+
 def normalize_text(col: Column | str, default: str | None = None,
                    lower: bool = True) -> Column:
     """``[LOWER](TRIM(COALESCE(col, default)))`` in that nesting order.
@@ -51,4 +68,4 @@ def normalize_text(col: Column | str, default: str | None = None,
     if default is not None:
         c = F.coalesce(c, F.lit(default))
     c = trim_spaces(c)
-    return F.lower(c) if lower else c
+    return lower_simple(c) if lower else c

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from marlstone.functions import SPACE_SEPARATORS, trim_spaces
+from marlstone.functions import SPACE_SEPARATORS, normalize_text, trim_spaces
 
 # ends mixed from separators, near-miss characters (tab, newline, zero-width
 # space U+200B, U+0080/U+009F at the ASCII boundary, U+2028 line separator)
@@ -37,3 +37,29 @@ def test_trim_spaces_edges(spark):
     df = spark.createDataFrame([(c,) for c in cases], "s string")
     got = [r[0] for r in df.select(trim_spaces("s")).collect()]
     assert got == [python_trim(c) for c in cases]
+
+
+# letters whose case mapping is special in some engine (dotted / dotless i,
+# sigma, sharp s, Kelvin sign, titlecase dz), separators and near misses
+CASE_EDGE = (SPACE_SEPARATORS + "\t\u200b\u0085\u180e"
+             + "aZ\u0130\u0131I\u03a3\u03c3\u03c2\u0391\u1e9e\u00df\u212a\u01c5"
+             + "\u00c9\u6f22\U0001f600")
+case_texts = st.text(alphabet=st.sampled_from(CASE_EDGE), max_size=8) | st.none()
+
+
+@settings(max_examples=25, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(case_texts, min_size=1, max_size=60))
+def test_normalize_text_equals_sql_lower_trim_coalesce(spark, values):
+    """X5-X7 against the SQL the rules are written in, run by DuckDB:
+    LOWER(TRIM(COALESCE(s, default))) and TRIM(COALESCE(s, default))."""
+    import duckdb
+    con = duckdb.connect()
+    want = [con.execute("SELECT lower(trim(coalesce(?, 'direct'))), "
+                        "trim(coalesce(?, 'direct'))", [v, v]).fetchone()
+            for v in values]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = df.select(normalize_text("s", "direct").alias("low"),
+                    normalize_text("s", "direct", lower=False).alias("kept")).collect()
+    for v, g, w in zip(values, got, want):
+        assert (g.low, g.kept) == w, (v, g, w)
