@@ -50,10 +50,15 @@ SIMPLE_LOWER_CASE = {"\u0130": "i", "\u03a3": "\u03c3"}
 def lower_simple(col: Column | str) -> Column:
     """LOWER by the simple one-to-one case mapping (X5): the two characters
     the JVM lowers differently are mapped first; all others are lowered by
-    ``lower`` itself, identically."""
+    ``lower`` itself, identically. ``translate`` rebuilds the string, so it
+    runs only on values that contain one of the two (a byte search each)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.lower(F.translate(c, "".join(SIMPLE_LOWER_CASE),
-                               "".join(SIMPLE_LOWER_CASE.values())))
+    special = None
+    for ch in SIMPLE_LOWER_CASE:
+        special = c.contains(ch) if special is None else special | c.contains(ch)
+    mapped = F.translate(c, "".join(SIMPLE_LOWER_CASE),
+                         "".join(SIMPLE_LOWER_CASE.values()))
+    return F.lower(F.when(special, mapped).otherwise(c))
 
 
 def normalize_text(col: Column | str, default: str | None = None,
