@@ -47,18 +47,25 @@ def trim_spaces(col: Column | str) -> Column:
 SIMPLE_LOWER_CASE = {"\u0130": "i", "\u03a3": "\u03c3"}
 
 
-def lower_simple(col: Column | str) -> Column:
-    """LOWER by the simple one-to-one case mapping (X5): the two characters
-    the JVM lowers differently are mapped first; all others are lowered by
-    ``lower`` itself, identically. ``translate`` rebuilds the string, so it
-    runs only on values that contain one of the two (a byte search each)."""
+def map_special_case_letters(col: Column | str) -> Column:
+    """Replace the two letters of ``SIMPLE_LOWER_CASE`` by their simple lower
+    case. ``translate`` rebuilds the string, so it runs only on values that
+    contain one of them (a byte search each). Pass a plain column: the input
+    is referenced four times in the expression."""
     c = F.col(col) if isinstance(col, str) else col
     special = None
     for ch in SIMPLE_LOWER_CASE:
         special = c.contains(ch) if special is None else special | c.contains(ch)
     mapped = F.translate(c, "".join(SIMPLE_LOWER_CASE),
                          "".join(SIMPLE_LOWER_CASE.values()))
-    return F.lower(F.when(special, mapped).otherwise(c))
+    return F.when(special, mapped).otherwise(c)
+
+
+def lower_simple(col: Column | str) -> Column:
+    """LOWER by the simple one-to-one case mapping (X5): the two characters
+    the JVM lowers differently are mapped first; all others are lowered by
+    ``lower`` itself, identically."""
+    return F.lower(map_special_case_letters(col))
 
 
 def normalize_text(col: Column | str, default: str | None = None,
@@ -70,7 +77,12 @@ def normalize_text(col: Column | str, default: str | None = None,
     the referer and product names).
     """
     c = F.col(col) if isinstance(col, str) else col
+    if lower:
+        # on the raw value, where it is cheap to reference: the two letters
+        # are not space separators and the defaults are ASCII, so mapping
+        # them before COALESCE and TRIM gives the same result as after
+        c = map_special_case_letters(c)
     if default is not None:
         c = F.coalesce(c, F.lit(default))
     c = trim_spaces(c)
-    return lower_simple(c) if lower else c
+    return F.lower(c) if lower else c
