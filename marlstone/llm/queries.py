@@ -5,18 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marlstone.llm.common import table
 from marlstone.llm.exact_dedup import exact_dedup
+from marlstone.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _remainder(modulus: int) -> F.Column:
+    """crc32 of doc_id as text; that of NULL counts as 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(0))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                         F.size("spans").cast("long").alias("n_spans"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
