@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import table
+from marlstone.llm.decontamination import decontaminate
 from marlstone.llm.exact_dedup import exact_dedup
+from marlstone.llm.language_model import language_model
 from marlstone.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +21,14 @@ def _remainder(modulus: int) -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(0))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score",
@@ -31,11 +41,36 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
+    "op5_language_model": op5_language_model,
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
+#: Lower-cased words of a text column, as SQL.
+_WORDS = (r"regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": f"""
+        WITH doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        item AS (SELECT item_id, w, LEAST(13, LEN(w)) AS t
+                 FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE LEN(w) > 0),
+        item_at AS (SELECT item_id, t, w, UNNEST(RANGE(1, LEN(w) - t + 2)) AS i FROM item),
+        item_win AS (SELECT DISTINCT item_id, t, ARRAY_TO_STRING(w[i:i + t - 1], ' ') AS g FROM item_at),
+        doc_at AS (SELECT doc_id, t, w, UNNEST(RANGE(1, LEN(w) - t + 2)) AS i
+                   FROM doc, (SELECT DISTINCT t FROM item)),
+        doc_win AS (SELECT doc_id, t, i, ARRAY_TO_STRING(w[i:i + t - 1], ' ') AS g FROM doc_at),
+        hit AS (SELECT doc_id, item_id, t, i FROM doc_win JOIN item_win USING (t, g)),
+        place AS (SELECT DISTINCT doc_id, UNNEST(RANGE(i, i + t)) AS p FROM hit),
+        n AS (SELECT doc_id, COUNT(*) AS n_hit FROM place GROUP BY doc_id),
+        its AS (SELECT doc_id, COUNT(*) AS n_items, STRING_AGG(item_id, ',' ORDER BY item_id) AS ids
+                FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+        SELECT doc.doc_id, CAST(LEN(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit,
+               COALESCE(n_items, 0) AS n_items, sha256(COALESCE(ids, '')) AS items_sha256,
+               COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= LEN(w) AS contaminated
+        FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN its USING (doc_id)
+    """,
     "op9_exact_dedup": """
         WITH hashed AS (
             SELECT doc_id, COALESCE(text, '') AS body FROM documents)
