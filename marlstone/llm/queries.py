@@ -11,6 +11,7 @@ from marlstone.llm.common import table
 from marlstone.llm.decontamination import decontaminate
 from marlstone.llm.exact_dedup import exact_dedup
 from marlstone.llm.language_model import language_model
+from marlstone.llm.packing import pack_documents
 from marlstone.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,11 +41,16 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op5_language_model": op5_language_model,
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_packing": op10_packing,
 }
 
 #: Lower-cased words of a text column, as SQL.
