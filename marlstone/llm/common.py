@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Word characters of the n-gram operators: digits, letters and everything
@@ -46,7 +46,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def words_column(text) -> F.Column:
+def words_column(text) -> Column:
     """Array of lower-cased words of a text column; NULL and empty texts have
     none."""
     low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
@@ -87,3 +87,35 @@ def package_path(path: str) -> str:
         return path
     import public_tokenizers
     return public_tokenizers.path(path)
+
+
+#: Bits of the filters below: 8 MB, whatever they are built from.
+FILTER_BITS = 1 << 26
+
+
+def _bit(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+
+
+def bit_filter(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Bitmaps of the hashed keys of ``df``: bucket, bits; 2,048 rows of 4 KB
+    at most."""
+    at = df.select(_bit(keys).alias("at"))
+    return (at.groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")))
+
+
+def maybe_in(df: DataFrame, keys: list[str], bits: DataFrame, other: bool = False):
+    """Rows of ``df`` whose keys may be in the filter: all that are, and few
+    others; with ``other`` also the rest. It spares a shuffle of rows that a
+    join with the keys would drop; the broadcast has the fixed size of the
+    filter."""
+    at = _bit(keys)
+    marked = df.withColumn("_bit", F.bitmap_bit_position(at)).withColumn("_bucket", F.bitmap_bucket_number(at))
+    joined = marked.join(F.broadcast(bits.withColumnRenamed("bucket", "_bucket")), "_bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(_bit div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    hit = F.coalesce(F.expr("shiftright(_byte, cast(_bit % 8 as int)) & 1") == 1, F.lit(False))
+    tested = joined.withColumn("_byte", byte).withColumn("_hit", hit)
+    inner = ["_bit", "_bucket", "bits", "_byte", "_hit"]
+    maybe = tested.where("_hit").drop(*inner)
+    return (maybe, tested.where(~F.col("_hit")).drop(*inner)) if other else maybe

@@ -11,6 +11,7 @@ from marlstone.llm.common import table
 from marlstone.llm.decontamination import decontaminate
 from marlstone.llm.exact_dedup import exact_dedup
 from marlstone.llm.language_model import language_model
+from marlstone.llm.line_dedup import line_dedup
 from marlstone.llm.packing import pack_documents
 from marlstone.llm.toxicity import toxicity
 
@@ -30,6 +31,12 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed",
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score",
@@ -48,6 +55,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op5_language_model": op5_language_model,
+    "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
