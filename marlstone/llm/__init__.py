@@ -1,2 +1,10 @@
 """Operators of a training-data pipeline over the tables documents, pages,
 benchmark and labels. Nothing outside this package imports it."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The functions that run in tasks travel with the job, so executors need no
+# copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

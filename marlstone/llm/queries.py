@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marlstone.llm.common import table
 from marlstone.llm.decontamination import decontaminate
 from marlstone.llm.exact_dedup import exact_dedup
+from marlstone.llm.jaccard_join import jaccard_join
 from marlstone.llm.language_model import language_model
 from marlstone.llm.line_dedup import line_dedup
 from marlstone.llm.packing import pack_documents
@@ -23,6 +24,10 @@ def _remainder(modulus: int) -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(0))
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
@@ -53,6 +58,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
     "op5_language_model": op5_language_model,
     "op7_line_dedup": op7_line_dedup,

@@ -154,8 +154,9 @@ def train(rows: list[tuple[str, int]], prior: tuple[float, float], support: int
     markers = _markers(texts, toxic, support)
     lens = np.array([len(t) for t in texts])
     names: dict[bytes, int] = {}
-    ids = np.fromiter((names.setdefault(w, len(names)) for t in texts for w in t), np.int64,
+    ids = np.fromiter((names.setdefault(w, len(names)) for t in texts for w in t), np.int32,
                       int(lens.sum()))
+    del texts
     common = Counter(f for w in names for f in features(w))
     known: dict[bytes, int] = {}
     pair_word, pair_feature, marked = [], [], np.zeros(len(names), bool)
@@ -174,12 +175,17 @@ def train(rows: list[tuple[str, int]], prior: tuple[float, float], support: int
     theta, steps, bias = np.zeros(len(known)), np.zeros(3), -4.0
     square, square_steps, square_bias = np.full(len(known), 1e-6), np.full(3, 1e-6), 1e-6
     has = lens[lens > 0]
+    ends = np.cumsum(has)
+    blocks = [(slice(int(ends[lo] - has[lo]), int(ends[hi - 1])), slice(lo, hi))
+              for lo, hi in row_slices(np.concatenate([[0], ends]), 100_000)]
     positive = np.bincount(ids, label, len(names))
     for _ in range(rounds if len(ids) else 0):
         word = np.bincount(pw, theta[pf], len(names)) + bias
-        m, moved = forward_backward(np.exp(np.clip(word, -30, 30))[ids], has,
-                                    tuple(np.exp(steps)), pairs=True)
-        miss = positive - np.bincount(ids, m, len(names))
+        factor, moved, miss = np.exp(np.clip(word, -30, 30)), np.zeros(3), positive.copy()
+        for tokens, rows_ in blocks:
+            m, part = forward_backward(factor[ids[tokens]], has[rows_], tuple(np.exp(steps)), pairs=True)
+            moved += part
+            miss -= np.bincount(ids[tokens], m, len(names))
         g = np.bincount(pf, miss[pw], len(known)) - 0.05 * theta
         square += g * g
         theta += 0.5 * g / np.sqrt(square)
@@ -190,9 +196,10 @@ def train(rows: list[tuple[str, int]], prior: tuple[float, float], support: int
         bias += 0.5 * miss.sum() / np.sqrt(square_bias)
     weights = {f: float(theta[i]) for f, i in known.items() if abs(theta[i]) > 0.05}
     model = Model(weights, float(bias), tuple(np.exp(steps).tolist()))
-    factor = Factors(model)
-    x = np.array([factor[w] for w in names])[ids] if len(ids) else np.zeros(0)
-    m = forward_backward(x, has, model.steps) if len(ids) else x
+    of_word = Factors(model)
+    factor = np.array([of_word[w] for w in names])
+    m = np.concatenate([forward_backward(factor[ids[tokens]], has[rows_], model.steps)
+                        for tokens, rows_ in blocks] or [np.zeros(0)])
     x = np.c_[np.ones(len(rows)), evidence(m, lens)]
     share = np.bincount(toxic, minlength=2)
     weight = np.array([prior[k] / share[k] for k in (0, 1)])[toxic]
