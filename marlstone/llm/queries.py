@@ -14,6 +14,7 @@ from marlstone.llm.jaccard_join import jaccard_join
 from marlstone.llm.language_model import language_model
 from marlstone.llm.line_dedup import line_dedup
 from marlstone.llm.packing import pack_documents
+from marlstone.llm.suffix_dedup import suffix_dedup
 from marlstone.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model(table(spark, sf_dir, "documents"))
 
@@ -60,6 +66,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_language_model": op5_language_model,
     "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
