@@ -14,6 +14,7 @@ from marlstone.llm.jaccard_join import jaccard_join
 from marlstone.llm.language_model import language_model
 from marlstone.llm.line_dedup import line_dedup
 from marlstone.llm.packing import pack_documents
+from marlstone.llm.pii import pseudonymise
 from marlstone.llm.suffix_dedup import suffix_dedup
 from marlstone.llm.toxicity import toxicity
 
@@ -38,6 +39,12 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a deployment passes its own key
+    done = pseudonymise(table(spark, sf_dir, "documents"), key="marlstone")
+    return done.select("doc_id", "text", "n_values", "kinds")
+
+
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model(table(spark, sf_dir, "documents"))
 
@@ -67,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_pii": op4_pii,
     "op5_language_model": op5_language_model,
     "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
