@@ -119,3 +119,13 @@ def maybe_in(df: DataFrame, keys: list[str], bits: DataFrame, other: bool = Fals
     inner = ["_bit", "_bucket", "bits", "_byte", "_hit"]
     maybe = tested.where("_hit").drop(*inner)
     return (maybe, tested.where(~F.col("_hit")).drop(*inner)) if other else maybe
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id and text_key (a 64-bit hash of the text)
+    are not in ``gone``; only rows that may be are shuffled."""
+    key = ["doc_id", "text_key"]
+    maybe, rest = maybe_in(docs, key, bit_filter(gone, key), other=True)
+    named = gone.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct()
+    return rest.unionByName(maybe.join(
+        named, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left_anti"))

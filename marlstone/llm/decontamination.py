@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import LOWER, NON_WORD, UPPER, staged
+from marlstone.llm.common import LOWER, NON_WORD, UPPER, staged, without
 
 SPAN, K = 13, 6
 WINDOW = SPAN - K + 1
@@ -155,3 +155,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, share: int = 20) -> Dat
                     F.coalesce(F.array_size("items"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(listed, 256).alias("items_sha256"),
                     ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated")))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: int = 20) -> DataFrame:
+    """``docs`` without the contaminated documents."""
+    bad = staged(decontaminate(docs, benchmark, share).where("contaminated").select("doc_id", "text_key"), "bad")
+    nested = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id",
+                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    return without(nested, bad).select("_row.*")

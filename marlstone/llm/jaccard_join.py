@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import bit_filter, flat, maybe_in, row_slices, staged
+from marlstone.llm.common import bit_filter, flat, maybe_in, row_slices, staged, without
 from marlstone.llm.components import components
 
 SHINGLE, COORDINATES, RATE = 5, 64, 0.6
@@ -352,3 +352,25 @@ def jaccard_join(docs: DataFrame, similarity: float = 0.8, recall: float = 0.99,
             .select("doc_id", "text_key", F.col("size").alias("n_shingles"),
                     F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+
+
+def jaccard_dedup(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each class: that with the least doc_id,
+    of its texts the one with the least hash. A document without words stays. A row
+    given twice stays once if its class has words."""
+    result = staged(jaccard_join(docs, **options).where("n_shingles > 0"), "joined")
+    heads = (result.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id")
+             .agg(F.min("text_key").alias("head")))
+    marked = (result.groupBy("doc_id", "text_key", "class_id").agg(F.count(F.lit(1)).alias("n"))
+              .join(heads.withColumnRenamed("class_id", "c"), F.col("class_id").eqNullSafe(F.col("c"))))
+    head = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_key") == F.col("head"))
+    marked = staged(marked.select("doc_id", "text_key", (head & (F.col("n") > 1)).alias("again"), head.alias("head"))
+                    .where(~F.col("head") | F.col("again")), "marked")
+    nested = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id",
+                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    kept = without(nested, marked)
+    again = marked.where("again").select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"))
+    once = (maybe_in(nested, ["doc_id", "text_key"], bit_filter(marked.where("again"), ["doc_id", "text_key"]))
+            .join(again, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left_semi")
+            .dropDuplicates(["doc_id", "text_key"]))
+    return kept.unionByName(once).select("_row.*")

@@ -187,3 +187,14 @@ def line_dedup(docs: DataFrame, least: int = 24, similarity: float = 0.8) -> Dat
     both = whole.unionByName(cut)
     return both.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in others],
                        "n_lines", "n_removed")
+
+
+def drop_repeated_lines(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with the remaining lines as text, n_chars (where there is one)
+    brought up to date. Documents that lose all they hold go: their lines stay
+    elsewhere."""
+    cut = line_dedup(docs, **options).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    chars = F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))
+    cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, chars).otherwise(F.col("n_chars"))) \
+        if "n_chars" in docs.columns else cut
+    return cut.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")])

@@ -11,6 +11,7 @@ from marlstone.llm.common import table
 from marlstone.llm.decontamination import decontaminate
 from marlstone.llm.exact_dedup import exact_dedup
 from marlstone.llm.jaccard_join import jaccard_join
+from marlstone.llm.language_id import identify
 from marlstone.llm.language_model import language_model
 from marlstone.llm.line_dedup import line_dedup
 from marlstone.llm.packing import pack_documents
@@ -49,6 +50,10 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_lines", "n_removed",
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_pii": op4_pii,
     "op5_language_model": op5_language_model,
+    "op6_language_id": op6_language_id,
     "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,

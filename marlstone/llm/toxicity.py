@@ -300,3 +300,24 @@ def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(
         _scorer(model),
         f"doc_id {kind}, score double, spans array<struct<start: long, end: long, score: double>>")
+
+
+def _keep_clean(model: Model, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factor = Factors(model)
+        for batch in batches:
+            data, at = flat(batch.column("text"))
+            scores = [np.zeros(0)]
+            for lo, hi in row_slices(at, 1 << 20):
+                words = [WORD.findall(data[at[i]:at[i + 1]].tobytes().lower()) for i in range(lo, hi)]
+                lens = np.array([len(w) for w in words])
+                x = np.fromiter((factor[w] for ws in words for w in ws), float, int(lens.sum()))
+                m = forward_backward(x, lens[lens > 0], model.steps) if len(x) else x
+                scores.append(_score(model, m, lens))
+            yield batch.filter(pa.array(np.concatenate(scores) < threshold))
+    return run
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
+    """``docs`` without the documents of a score of ``threshold`` or more."""
+    return docs.mapInArrow(_keep_clean(learnt(docs, labels, **options), threshold), docs.schema)
