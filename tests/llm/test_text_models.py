@@ -1,0 +1,358 @@
+"""Decontamination, language model, language id, toxicity, pseudonyms and
+packing against brute force, round trips and held-out accuracy."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marlstone.llm.decontamination import decontaminate, drop_contaminated
+from marlstone.llm.language_id import identify
+from marlstone.llm.language_model import grams, language_model, leaves, levels, log10_of
+from marlstone.llm.packing import Encoder, best_fit_decreasing, lower_bound, pack, pack_documents
+from marlstone.llm.pii import ANY, pseudonymise
+from marlstone.llm.toxicity import WORD, drop_toxic, forward_backward, toxicity
+from tests.llm.fixtures import SCHEMA, corpus, make_text, words
+
+ROWS = corpus()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).repartition(3).cache()
+
+
+def test_decontamination(spark, docs):
+    rng = random.Random(2)
+    long = [t for _, t, *_ in ROWS if len(words(t)) > 60]
+    items = [(k, " ".join(words(t)[5:5 + n]).upper()) for k, (t, n) in enumerate(zip(long, [13, 12, 40, 3, 1, 25, 6, 55]))]
+    items += [(20, make_text(rng, 30)), (21, None), (22, ""), (None, long[0]), (0, " ".join(words(long[3])[:20])),
+              (10, make_text(rng, 12) + " " + " ".join(words(long[5])[10:30]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    windows = {}
+    for i, t in items:
+        w = words(t)
+        if i is not None and w:
+            n = min(13, len(w))
+            for k in range(len(w) - n + 1):
+                windows.setdefault(tuple(w[k:k + n]), set()).add(i)
+    expected = Counter()
+    for i, t, *_ in ROWS:
+        w, hit, found = words(t), set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if ids := windows.get(tuple(w[k:k + n])):
+                    hit |= set(range(k, k + n))
+                    found |= ids
+        sha = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+        expected[(i, len(w), len(hit), len(found), sha, bool(hit) and 20 * len(hit) >= len(w))] += 1
+    got = Counter(tuple(r) for r in decontaminate(docs, bench).drop("text_key").collect())
+    assert got == expected
+    assert any(k[2] for k in expected)
+    clean = Counter(k[0] for k, n in expected.items() for _ in range(n) if not k[5])
+    assert Counter(r[0] for r in drop_contaminated(docs, bench).collect()) == clean
+    none = decontaminate(docs, bench.limit(0))
+    assert none.where("contaminated or n_hit > 0").count() == 0 and none.count() == len(ROWS)
+
+
+def test_decontamination_across_segments(spark):
+    rng = random.Random(9)
+    text = make_text(rng, 9000)
+    w = words(text)
+    items = [(k, " ".join(w[s:s + 13])) for k, s in enumerate([0, 2036, 2040, 2047, 4090, len(w) - 13])]
+    got = decontaminate(spark.createDataFrame([(1, text)], "doc_id long, text string"),
+                        spark.createDataFrame(items, "item_id long, text string")).first()
+    assert got["n_items"] == len(items)
+
+
+def crc(i, m):
+    return 0 if i is None else zlib.crc32(str(i).encode()) % m
+
+
+def ctw_brute(train: list[bytes], text: bytes, depth: int) -> float:
+    """Recursive textbook form: weighted probabilities of the training bits,
+    then the chance of each bit by mixing along its path."""
+    counts = {}
+
+    def path(context, node):
+        return [(tuple(context[len(context) - d:]), node) for d in range(depth + 1)]
+    for t in train:
+        padded = [0] * depth + list(t) + [255]
+        for k in range(depth, len(padded)):
+            node = 1
+            for s in range(7, -1, -1):
+                bit = padded[k] >> s & 1
+                for key in path(padded[k - depth:k], node):
+                    counts.setdefault(key, [0, 0])[bit] += 1
+                node = node * 2 + bit
+    kt = lambda a, b: math.lgamma(a + .5) + math.lgamma(b + .5) - math.lgamma(a + b + 1) - 2 * math.lgamma(.5)
+    children = {}
+    for c, j in counts:
+        if c:
+            children.setdefault((c[1:], j), []).append((c, j))
+    memo = {}
+
+    def log_pw(key):
+        if key not in memo:
+            own = kt(*counts[key])
+            memo[key] = own if len(key[0]) == depth else np.logaddexp(
+                own, sum(log_pw(c) for c in children.get(key, []))) + math.log(.5)
+        return memo[key]
+
+    def chance(keys, bit):
+        a = counts.get(keys[0], [0, 0])
+        own = (a[bit] + .5) / (a[0] + a[1] + 1)
+        if len(keys) == 1:
+            return own
+        weight = math.exp(kt(*a) + math.log(.5) - log_pw(keys[0])) if keys[0] in counts else .5
+        return weight * own + (1 - weight) * chance(keys[1:], bit)
+    total, padded = 0.0, [0] * depth + list(text) + [255]
+    for k in range(depth, len(padded)):
+        node = 1
+        for s in range(7, -1, -1):
+            bit = padded[k] >> s & 1
+            total += math.log10(chance(path(padded[k - depth:k], node), bit))
+            node = node * 2 + bit
+    return total
+
+
+def test_context_tree_is_a_distribution():
+    rng = np.random.default_rng(0)
+    data = rng.integers(97, 101, 500).astype(np.uint8)
+    code, _ = grams(data, np.array([0, 200, 200, 500]), 3)
+    gram, n = np.unique(code, return_counts=True)
+    nodes = levels(gram, n, 3, 0)
+    for context in (0x616263, 0x7A7A7A, 0):
+        every = (context << 8) | np.arange(256)
+        assert abs((10 ** log10_of(every, nodes, 3)).sum() - 1) < 1e-9
+    assert len(leaves(gram, n).keys)
+
+
+@pytest.mark.parametrize("depth", [2, 3])
+def test_language_model(spark, depth):
+    few = [r for r in ROWS if len(r[1] or "") < 500]
+    docs = spark.createDataFrame(few, SCHEMA)
+    train = [t or "" for i, t, *_ in few if crc(i, 10)]
+    counts = Counter(w for t in train for w in [*t.encode().lower().split(), None])
+    n, v = sum(counts.values()), len(counts)
+    brute = {}
+    got = language_model(docs, depth=depth, block_rows=20).collect()
+    assert len(got) == len(few)
+    expected = Counter()
+    for i, t, *_ in few:
+        w = [*(t or "").encode().lower().split(), None]
+        base = sum(math.log10((counts[x] + .1) / (n + .1 * (v + 1))) for x in w)
+        if t not in brute and len(brute) < 12:
+            brute[t] = ctw_brute([x.encode() for x in train], (t or "").encode(), depth)
+        expected[(i, crc(i, 10) == 0, len(w), sum(counts[x] > 0 for x in w), n, round(base, 6),
+                  round(brute[t], 6) if t in brute else None)] += 1
+    by = {}
+    for k in expected:
+        by.setdefault(k[:6], set()).add(k[6])
+    for r in got:
+        key = (r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6))
+        assert key in by
+        values = {x for x in by[key] if x is not None}
+        assert not values or None in by[key] or any(abs(r["score"] - x) < 1e-4 for x in values)
+
+
+def test_language_model_without_training_rows(spark):
+    ids = [i for i in range(200) if crc(i, 10) == 0][:3]
+    got = language_model(spark.createDataFrame([(i, "ab c") for i in ids], "doc_id long, text string")).collect()
+    assert len(got) == 3
+    for r in got:
+        assert (r["n_known"], r["train_tokens"], r["base_score"]) == (0, 0, None)
+        assert abs(r["score"] + 5 * 8 * math.log10(2)) < 1e-9
+    assert language_model(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_forward_backward():
+    rng = np.random.default_rng(4)
+    x, steps = np.exp(rng.normal(size=400)), (.1, .3, .9)
+    lens = np.array([130, 1, 64, 200, 5])
+    got, moved = forward_backward(x, lens, steps, pairs=True)
+    end, expected, pairs = 0, [], np.zeros(3)
+    for n in lens:
+        a = [np.array([[1, steps[0] * v], [steps[1], steps[2] * v]]) for v in x[end:end + n]]
+        end += n
+        left, right = [np.array([1., 0])], [np.ones(2)]
+        for m in a:
+            left.append(left[-1] @ m / (left[-1] @ m).sum())
+        for m in reversed(a):
+            right.insert(0, m @ right[0] / (m @ right[0]).sum())
+        for t, m in enumerate(a):
+            joint = left[t][:, None] * m * right[t + 1][None]
+            joint /= joint.sum()
+            expected.append(joint[:, 1].sum())
+            pairs += [joint[0, 1], joint[1, 0], joint[1, 1]]
+    assert np.allclose(got, expected) and np.allclose(moved, pairs)
+
+
+def test_toxicity_on_held_out_documents(spark):
+    rng = random.Random(8)
+    bad = ["worthless", "idiot", "scum", "lowei" + "xa", "lowei" + "qu", "loweirr"]
+    rows, labels = [], []
+    for i in range(1500):
+        text, toxic = make_text(rng, rng.randint(5, 80)), i % 5 == 0
+        if toxic:
+            parts = text.split(" ")
+            for _ in range(3):
+                parts.insert(rng.randrange(len(parts) + 1), rng.choice(bad))
+            text = " ".join(parts)
+        rows.append((i, text))
+        labels.append((i, int(toxic)))
+    rows += [(None, None), (5000, ""), (5001, None), (5002, "x idiot y"), (0, rows[0][1])]
+    labels += [(None, 1), (7, None), (9999, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity(docs, marks).collect()
+    assert len(got) == len(rows)
+    by, text = {r["doc_id"]: r for r in got}, dict(rows)
+    held = [i for i, y in labels[:1500] if crc(i, 5) == 0]
+    right = sum((by[i]["score"] >= .5) == bool(dict(labels[:1500])[i]) for i in held)
+    assert right >= 0.97 * len(held)
+    assert all(0 <= r["score"] <= 1 for r in got)
+    spans = [text[i][s["start"]:s["end"]].lower() for i in held for s in by[i]["spans"]]
+    assert spans and sum(bool(re.search("worthless|idiot|scum|lowei", s)) for s in spans) >= 0.95 * len(spans)
+    assert [text[5002][s["start"]:s["end"]] for s in by[5002]["spans"]] == ["idiot"]
+    kept = drop_toxic(docs, marks)
+    assert kept.columns == docs.columns
+    assert {r[0] for r in kept.collect()} == {r["doc_id"] for r in got if r["score"] < .5}
+    assert {r["score"] for r in toxicity(docs, marks.limit(0)).collect()} == {0.0}
+    assert toxicity(docs.limit(0), marks).count() == 0
+
+
+TEXTS = [
+    "card 4041894974608795 x", "4041 8949 7460 8795, 4041-8949-7460-8795", "bad card 4041894974608796",
+    "+1 (988) 555-2485 4524132264652876 y", "988-555-2485", "ip 42.144.35.254 and 42.144.35.255.", "300.1.1.1",
+    "born 2024-02-29, 29.02.2024 02/29/2024 31.02.2024", "ssn 123-45-6789 000-12-3456",
+    "DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", "+44 20 7946 0958 ok", "clean 4.0. 2.0.", "", None]
+OTHERS = ["mail bosbt.42@mail8.example.com.", "password=b7db7aa4a5fcc78305 enes", 'token = "1beb58b8af68854f0e01"']
+
+
+def test_pseudonyms(spark):
+    rows = [(i, t, "clash") for i, t in enumerate(TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kinds string")
+    done = pseudonymise(docs, "k").cache()
+    back = {r["doc_id"]: r["text"] for r in pseudonymise(done, "k", restore=True).collect()}
+    got = {r["doc_id"]: r for r in done.collect()}
+    assert [back[i] for i in range(len(TEXTS))] == TEXTS
+    assert [got[i]["n_values"] for i in range(len(TEXTS))] == [1, 2, 0, 2, 1, 2, 0, 3, 1, 2, 1, 0, 0, 0]
+    new = got[1]["text"].split(", ")
+    assert new[0].replace(" ", "") == new[1].replace("-", "") == got[0]["text"].split()[1]  # linked
+    shape = lambda t: re.sub("[0-9]", "9", t)
+    assert all(shape(got[i]["text"]) == shape(t) for i, t in enumerate(TEXTS[:5]))
+    # valid in their own format: a second pass finds the same values
+    again = {r["doc_id"]: r["n_values"] for r in pseudonymise(done, "other").collect()}
+    assert again == {i: r["n_values"] for i, r in got.items()}
+    assert pseudonymise(docs.limit(0), "k").count() == 0
+
+
+def test_pseudonyms_are_one_to_one(spark):
+    ips = spark.range(4000).selectExpr("id as doc_id", "concat('10.', id div 256, '.', id % 256, '.7') as text")
+    assert pseudonymise(ips, "k").select("text").distinct().count() == 4000
+
+
+def test_mail_and_secrets_do_not_stay(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(OTHERS * 2)], "doc_id long, text string")
+    got = [r["text"] for r in pseudonymise(docs, "k").orderBy("doc_id").collect()]
+    assert got[:3] == got[3:]
+    for old, new in zip(OTHERS, got):
+        value = re.search(ANY.replace("(?i:", "(?:"), old)[0].split("=")[-1].strip(' "')
+        assert value not in new
+
+
+def test_language_id(spark):
+    rng = random.Random(6)
+    kinds = {"aa": ["th", "er", "ing"], "bb": ["sch", "ei", "ung"], "cc": ["eau", "oi", "ment"]}
+
+    def text(lang, n):
+        return " ".join("".join(rng.choices(kinds[lang], k=rng.randint(1, 3))) for _ in range(n))
+    docs = spark.createDataFrame([(i, text(x, 40), x) for i, x in enumerate([*kinds] * 20)] + [(99, None, "aa"), (98, "x", None)],
+                                 "doc_id long, text string, lang string")
+    rows, truth = [], []
+    for i in range(300):
+        lang = rng.choice([*kinds])
+        declared = lang if rng.random() < .8 else rng.choice([*kinds])
+        body = text(lang, 30) if i % 10 else ""
+        rows.append((i, f"https://{lang if rng.random() < .9 else 'mixed'}.example.org/x",
+                     f'<html lang="{declared}"><style>p{{}}</style><p>{body}</p><!-- x --></html>'))
+        truth.append(lang)
+    rows += [(1000, None, None), (1001, "nonsense", "<html>"), (0, *rows[0][1:])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
+    got = {r["page_id"]: r for r in identify(pages, docs).collect()}
+    assert identify(pages, docs).count() == len(rows)
+    with_text = [i for i in range(300) if i % 10]
+    assert sum(got[i]["lang"] == truth[i] for i in with_text) >= 0.98 * len(with_text)
+    # without text, declaration and host decide
+    blank = [i for i in range(300) if not i % 10]
+    assert sum(got[i]["lang"] == truth[i] for i in blank) >= 0.8 * len(blank)
+    assert all(0 <= r["probability"] <= 1 + 1e-9 for r in got.values())
+    assert {r["lang"] for r in identify(pages, docs.limit(0)).collect()} == {None}
+    assert identify(pages.limit(0), docs).count() == 0
+
+
+def test_encoder_equals_the_tokenizer():
+    rng = random.Random(1)
+    letters = [chr(c) for c in range(256)] + list("abcdefgsdlmrtve'' ' \n\t AZ09éßÀ") * 8
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(4000)]
+    texts += ["a<|endoftext|>b", "x œuvre", "İstanbul é", "", "é x", "ａ１"]
+    encoder = Encoder("word_bpe_49k.json")
+    plain = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder(texts) == plain
+
+
+def test_packing(docs):
+    got = pack_documents(docs, capacity=256, share=30).collect()
+    encoder = Encoder("word_bpe_49k.json")
+    expected = Counter()
+    for i, t, *_ in ROWS:
+        ids = encoder([t or ""])[0] + np.array([1], "<u4").tobytes()
+        for k, s in enumerate(range(0, len(ids), 1024)):
+            part = ids[s:s + 1024]
+            expected[(i, k, s // 4, len(part) // 4, zlib.crc32(part))] += 1
+    assert Counter(tuple(r)[:5] for r in got) == expected
+    check_sequences([(r["sequence_id"], r["offset"], r["length"]) for r in got], 256)
+    bound = -(-sum(r["length"] for r in got) // 256)
+    assert len({r["sequence_id"] for r in got}) <= 1.05 * bound + 1
+    assert pack_documents(docs.limit(0)).count() == 0
+
+
+def check_sequences(rows, capacity):
+    end = Counter()
+    for s, offset, length in sorted(rows):
+        assert offset == end[s]
+        end[s] += length
+    assert max(end.values()) <= capacity
+
+
+@pytest.mark.parametrize("low, high", [(1, 100), (30, 45), (51, 60), (1, 8)])
+def test_bounds_and_best_fit(low, high):
+    rng = np.random.default_rng(low)
+    for _ in range(20):
+        lengths = rng.integers(low, high + 1, 60)
+        sequence, offset, used = best_fit_decreasing(lengths, 100)
+        check_sequences(zip(sequence.tolist(), offset.tolist(), lengths.tolist()), 100)
+        bound = lower_bound(lengths, 100)
+        assert -(-lengths.sum() // 100) <= bound <= used
+    assert lower_bound(np.array([60] * 7), 100) == 7
+    assert lower_bound(np.array([34] * 6), 100) == 3
+
+
+def test_partitions_exchange(spark):
+    pieces = spark.range(3000).selectExpr("id", "cast(1 + id * 37 % 95 as long) as length")
+    rows = pack(pieces, capacity=100, share=100).collect()
+    check_sequences([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 100)
+    assert len(rows) == len({r["id"] for r in rows}) == 3000
+    bound = -(-sum(r["length"] for r in rows) // 100)
+    assert len({r["sequence_id"] for r in rows}) <= bound + 3
+
+
+def test_words_of_the_tagger_are_bytes():
+    assert WORD.findall("Ä b-c".encode().lower()) == ["Ä".encode(), b"b", b"c"]
