@@ -3,39 +3,27 @@
 Plan shape: each input is narrowed to the columns the fact needs before the
 joins, so the parquet scans read only those columns and the shuffles carry
 only them. Physical join strategy is left to the optimizer: with AQE on, a
-side whose *measured* size is under ``autoBroadcastJoinThreshold`` is
+side whose *measured* size is under the adaptive broadcast threshold is
 broadcast at runtime, anything larger is a sort-merge join on the key, and
-AQE splits skewed partitions. Orders and items grow with traffic and are
-never broadcast by hint.
-
-J2 (items LEFT JOIN refunds) takes one of two forms, chosen by a size check
-of the refunds (Catalyst's estimate of the refunds input, an upper bound of
-its size, against the session's ``autoBroadcastJoinThreshold``):
-
-* refunds within the limit (a shop with few refunds): a plain left join
-  with the refunds broadcast. The items are read once and not shuffled for
-  J2, and a hot refunded item costs no task more than its output rows.
-* refunds beyond the limit, or no estimate: the union of an inner join
-  (items with their refunds, one row per refund) and an anti join (items
-  without any refund). The rows are exactly those of the left join, but
-  the skew behaviour differs where it matters: an order item id is unique
-  among items, so the only hot key of J2 is an item with very many refunds,
-  i.e. on the refunds side. AQE cannot split the right side of a left outer
-  join (a split would repeat the unmatched left rows); it can split either
-  side of an inner join. The anti join only needs the *set* of refunded
-  item ids, so its right side is de-duplicated first, which partial
-  aggregation does on the map side: a hot item id arrives as one row per
-  map task. The items exchange is shared by both branches (one scan, one
-  shuffle of the items). Without that exchange, as when both branches were
-  broadcast joins, each branch would scan the items: hence the first form
-  for small refunds.
+AQE splits skewed partitions. Nothing is broadcast by hint or by estimate.
+
+J2 (items LEFT JOIN refunds) is, for every size, the union of an inner join
+(items with their refunds, one row per refund) and an anti join (items
+without any refund). The rows are exactly those of the left join, but the
+skew behaviour differs where it matters: an order item id is unique among
+items, so the only hot key of J2 is an item with very many refunds, i.e. on
+the refunds side. AQE cannot split the right side of a left outer join (a
+split would repeat the unmatched left rows); it can split either side of an
+inner join. The anti join only needs the *set* of refunded item ids, so its
+right side is de-duplicated first, which partial aggregation does on the map
+side: a hot item id arrives as one row per map task. The items exchange is
+shared by both branches (one scan, one shuffle of the items).
 
 Join order: J2 runs before J1 (items JOIN orders). The two orders give the
 same rows, because J2's condition only involves item columns, but the later
 exchange then carries the items plus one refund column instead of the items
-plus three order columns: with sort-merge joins on the sf0.1 data this moved
-12.7 % fewer shuffle bytes (58.7 MB against 67.3 MB). J1 is skew-safe as an
-inner join: AQE splits a hot order_id on the items side.
+plus three order columns. J1 is skew-safe as an inner join: AQE splits a hot
+order_id on the items side.
 """
 
 from __future__ import annotations
@@ -44,30 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions import net_profit, zero_if_null
-from marlstone.session import broadcast_limit, estimated_bytes
-
-
-def refunds_left_join(items: DataFrame, refunds: DataFrame,
-                      broadcast_bytes: int | None = None) -> DataFrame:
-    """``items LEFT JOIN refunds ON order_item_id``.
-
-    Refunds whose estimated size is within ``broadcast_bytes`` (default: the
-    session's ``autoBroadcastJoinThreshold``; negative = never) are
-    broadcast into a plain left join. Larger refunds take the inner + anti
-    join form: same rows and multiplicity as the left join (an item with n
-    refunds appears n times, an item without refunds once with a NULL
-    refund, an item with a NULL id once with a NULL refund), but skew on the
-    refunds side can be split. Both joins read the same non-NULL-id items,
-    so their exchange is built once and reused; items with a NULL id (which
-    match nothing) pass through a map-only branch whose ``IS NULL`` filter a
-    Parquet source answers from row-group statistics.
-    """
-    limit = (broadcast_limit(refunds.sparkSession) if broadcast_bytes is None
-             else broadcast_bytes)
-    size = estimated_bytes(refunds) if limit >= 0 else None
-    if size is not None and size <= limit:
-        return items.join(F.broadcast(refunds), on="order_item_id", how="left")
 
+
+def refunds_left_join(items: DataFrame, refunds: DataFrame) -> DataFrame:
+    """``items LEFT JOIN refunds ON order_item_id`` as inner plus anti join.
+
+    Same rows and multiplicity as the left join (an item with n refunds
+    appears n times, an item without refunds once with a NULL refund, an item
+    with a NULL id once with a NULL refund), but skew on the refunds side can
+    be split. Both joins read the same non-NULL-id items, so their exchange is
+    built once and reused; items with a NULL id (which match nothing) pass
+    through a map-only branch whose ``IS NULL`` filter a Parquet source
+    answers from row-group statistics.
+    """
     key = F.col("order_item_id")
     # the refund columns of an unmatched item: NULL, typed like the refunds
     no_refund = [F.lit(None).cast(f.dataType).alias(f.name)
@@ -83,16 +60,13 @@ def refunds_left_join(items: DataFrame, refunds: DataFrame,
 
 
 def fact_order_items(order_items: DataFrame, orders: DataFrame,
-                     refunds: DataFrame,
-                     refunds_broadcast_bytes: int | None = None) -> DataFrame:
+                     refunds: DataFrame) -> DataFrame:
     """One row per (order item, matching refund).
 
     J1 inner join on order_id drops items whose order was rejected by F1 or
     is missing. J2 left join on order_item_id keeps unrefunded items and
     *repeats* an item once per refund it has (its revenue then counts once
     per repeat in the marts), exactly like the rule it reproduces.
-    ``refunds_broadcast_bytes`` is the size limit for broadcasting the
-    refunds in J2 (see ``refunds_left_join``).
     """
     oi = order_items.select(
         "order_item_id", "order_id", "product_id", "is_primary_item",
@@ -102,7 +76,7 @@ def fact_order_items(order_items: DataFrame, orders: DataFrame,
         "website_session_id", "user_id")
     r = refunds.select("order_item_id", "refund_amount_usd")
 
-    joined = (refunds_left_join(oi, r, refunds_broadcast_bytes)
+    joined = (refunds_left_join(oi, r)
               .join(o, on="order_id", how="inner"))
     return joined.select(
         "order_item_id",

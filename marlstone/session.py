@@ -1,23 +1,25 @@
 """Spark session settings for the lakehouse jobs.
 
 The operators do not depend on any of these for *results* (types are cast
-explicitly); the settings are about execution: AQE re-plans joins and
+explicitly and casts that lose a value raise in any session); the settings are
+about execution: AQE re-plans joins and
 shuffle sizes from measured statistics, splits skewed join partitions and
 coalesces small shuffle partitions.
 """
 
 from __future__ import annotations
 
-import os
-import re
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import SparkConf
+from pyspark.sql import SparkSession
 
 # Settings every job of the pipeline wants, cluster or local.
 JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # broadcast by sizes measured at run time, never by file sizes
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     # zone-less timestamps for CAST(... AS TIMESTAMP) in any SQL a user adds
@@ -35,6 +37,8 @@ def scale_conf(shuffle_bytes: int, total_cores: int,
                partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Shuffle sizing for a cluster run that moves about ``shuffle_bytes``
     through its largest exchange (for this pipeline: the fact's join input).
+    Pass the result as ``build_session(conf=...)`` or give the command line
+    ``--shuffle-gb``.
 
     Starts AQE from enough partitions that each holds ~``partition_bytes``
     (so a task's share fits in executor memory and spills little), never
@@ -52,40 +56,10 @@ def scale_conf(shuffle_bytes: int, total_cores: int,
     }
 
 
-_BYTE_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20,
-               "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40,
-               "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
-
-
-def byte_size(text: str) -> int:
-    """A Spark byte-size setting ("10MB", "10485760b", "64m", "-1") in bytes."""
-    m = re.fullmatch(r"\s*(-?)([0-9]+)\s*([a-z]*)\s*", text.lower())
-    if not m or m.group(3) not in _BYTE_UNITS:
-        raise ValueError(f"not a byte size: {text!r}")
-    value = int(m.group(2)) * _BYTE_UNITS[m.group(3)]
-    return -value if m.group(1) else value
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (negative = off)."""
-    return byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (the statistic behind its own
-    static broadcast decision: file sizes scaled to the projected columns;
-    filters do not lower it, so it bounds the data from above). None where
-    it is not available, e.g. on Spark Connect."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(str(size))  # a Python int already, or a JVM BigInt
-    except Exception:
-        return None
-
-
 def build_session(master: str | None = None, app_name: str = "marlstone",
                   conf: dict[str, str] | None = None) -> SparkSession:
-    """Get or create a session with ``JOB_CONF`` plus ``conf`` on top.
+    """Get or create a session with ``conf`` on top of what spark-submit set,
+    and ``JOB_CONF`` where neither says anything.
 
     ``master`` is only for local runs and tests; on a cluster leave it None
     and let spark-submit decide.
@@ -93,27 +67,10 @@ def build_session(master: str | None = None, app_name: str = "marlstone",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in {**JOB_CONF, **(conf or {})}.items():
+    submitted = {k for k, _ in SparkConf().getAll()}
+    wanted = {k: v for k, v in JOB_CONF.items() if k not in submitted}
+    for k, v in {**wanted, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must be set (shared storage visible to all executors).
-    Only when it is unset, as in tests, ``fallback`` is used and installed.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current
-    if not fallback:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; set it to a shared folder")
-    if "://" not in fallback:
-        os.makedirs(fallback, exist_ok=True)
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
