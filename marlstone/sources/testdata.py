@@ -2,21 +2,23 @@
 
 The generated data (``/root/testdata/sf*/``) has TPC-H-like tables and an
 event log but no web-shop tables, so each Bronze table is *derived* from one
-of them by a deterministic, row-wise rule (one aggregation for order items).
-Every row of the input is used; the rules only decide values, introducing
-the data-quality cases the cleaners exist for: NULLs, blank and padded text
-(including no-break space and tab), mixed case, NULL / negative prices,
-negative refunds, several refunds per item, orders without a session, unsold
-products and items of unknown products.
-
-The same rules are written in SQL in ``__spark_entry__.oracle_sql`` so an
-independent engine can recompute every registered query.
+of them by a deterministic, row-wise rule. Every row of the input becomes a
+row, but for refunds, which are the returned lines. The rules decide values,
+introducing the cases the cleaners and joins exist for: NULLs, blank and
+padded text (including no-break space and tab), mixed case, NULL / negative
+prices, negative refunds, several refunds per item, items without an order or
+of unknown products, unsold products, orders without a session, sessions with
+several orders, channels without orders and channels with more orders than
+sessions. (orderkey, linenumber) repeats in the generated lines, so item ids
+repeat too, as in an unclean source.
+
+The same rules are written in SQL in ``plans.oracle`` so an independent engine
+can recompute every registered query.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marlstone.schemas import MONEY
 
@@ -60,11 +62,6 @@ def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*(f"{expr} AS {name}" for name, expr in columns.items()))
 
 
-def item_key(orderkey: str = "l_orderkey", linenumber: str = "l_linenumber"):
-    """Order item id derived from a line item: orderkey * 10 + line number."""
-    return F.col(orderkey) * 10 + F.col(linenumber)
-
-
 def staging_website_sessions(events: DataFrame) -> DataFrame:
     return _project(events, {
         "website_session_id": "CAST(event_id AS INT)",
@@ -103,7 +100,10 @@ def staging_orders(orders: DataFrame) -> DataFrame:
     return _project(orders, {
         "order_id": "CAST(o_orderkey AS INT)",
         "create_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
-        "website_session_id": "CAST(o_orderkey AS INT)",
+        # eight neighbouring orders share a session, so the sessions of three
+        # campaigns in four have none; some orders have no session
+        "website_session_id": "CASE WHEN o_orderkey % 11 = 5 THEN CAST(NULL AS INT)"
+                              " ELSE CAST(o_orderkey - o_orderkey % 8 AS INT) END",
         "user_id": "CAST(o_custkey AS INT)",
         "primary_product_id": "CAST(o_custkey AS INT)",
         "items_purchased": "1",
@@ -116,27 +116,20 @@ def staging_orders(orders: DataFrame) -> DataFrame:
 
 
 def staging_order_items(lineitem: DataFrame) -> DataFrame:
-    """(orderkey, linenumber) repeats in the generated data, so the lines of
-    one derived item id are merged (MIN of each field) to keep it a key."""
-    items = lineitem.groupBy(item_key().alias("item_key"), "l_orderkey").agg(
-        F.min("l_shipdate").alias("shipdate"),
-        F.min("l_partkey").alias("partkey"),
-        F.min("l_linenumber").alias("linenumber"),
-        F.min("l_extendedprice").alias("extendedprice"),
-        F.min("l_quantity").alias("quantity"),
-    )
-    return _project(items, {
-        "order_item_id": "CAST(item_key AS INT)",
-        "create_at": "CAST(shipdate AS TIMESTAMP_NTZ)",
-        "order_id": "CAST(l_orderkey AS INT)",
+    return _project(lineitem, {
+        "order_item_id": f"CAST({_ITEM_KEY} AS INT)",
+        "create_at": "CAST(l_shipdate AS TIMESTAMP_NTZ)",
+        # some items belong to an order that does not exist
+        "order_id": f"CAST(CASE WHEN ({_ITEM_KEY}) % 17 = 3 THEN -l_orderkey"
+                    " ELSE l_orderkey END AS INT)",
         # every tenth part number is re-pointed to a product that does not
         # exist: those parts stay unsold, those items have no product
-        "product_id": "CAST(CASE WHEN partkey % 10 = 3 THEN -(partkey + 1)"
-                      " ELSE partkey END AS INT)",
-        "is_primary_item": "CASE WHEN linenumber = 1 THEN 1 ELSE 0 END",
-        "price_usd": "CAST(CASE WHEN item_key % 101 = 0 THEN CAST(NULL AS DOUBLE)"
-                     f" ELSE extendedprice - 2000 END AS {_MONEY})",
-        "cogs_usd": f"CAST(quantity * 10 AS {_MONEY})",
+        "product_id": "CAST(CASE WHEN l_partkey % 10 = 3 THEN -(l_partkey + 1)"
+                      " ELSE l_partkey END AS INT)",
+        "is_primary_item": "CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END",
+        "price_usd": f"CAST(CASE WHEN ({_ITEM_KEY}) % 101 = 0 THEN CAST(NULL AS DOUBLE)"
+                     f" ELSE l_extendedprice - 2000 END AS {_MONEY})",
+        "cogs_usd": f"CAST(l_quantity * 10 AS {_MONEY})",
     })
 
 
@@ -149,9 +142,9 @@ def staging_products(part: DataFrame) -> DataFrame:
 
 
 def staging_order_item_refunds(lineitem: DataFrame) -> DataFrame:
-    """Returned, discounted lines are refunds. Not merged per item id, so an
-    item can have several refunds (fan-out in the fact)."""
-    refunded = lineitem.where("l_returnflag = 'R' AND l_discount > 0.05")
+    """Returned lines are refunds; an item can have several (fan-out in the
+    fact)."""
+    refunded = lineitem.where("l_returnflag = 'R'")
     return _project(refunded, {
         "order_item_refund_id": f"CAST({_ITEM_KEY} AS INT)",
         "create_at": "CAST(l_shipdate AS TIMESTAMP_NTZ)",
