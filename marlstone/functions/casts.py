@@ -1,7 +1,9 @@
 """Type casts of the cleaning rules.
 
 Explicit target types, so results do not depend on session settings such as
-``spark.sql.timestampType`` (the caller's session may not be ours).
+``spark.sql.timestampType``. A value that its target type cannot hold raises in
+any session: under ``spark.sql.ansi.enabled = false`` a plain cast would wrap
+an integer around or give NULL instead.
 """
 
 from __future__ import annotations
@@ -14,14 +16,29 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def strict_cast_sql(column: str, kind: str) -> str:
+    """SQL of a cast that keeps NULL and raises for a value without a result."""
+    c = f"`{column}`"
+    return (f"coalesce(try_cast({c} AS {kind}), CASE WHEN {c} IS NOT NULL THEN CAST(raise_error("
+            f"concat('{column}: ', CAST({c} AS STRING), ' is no {kind}')) AS {kind}) END)")
+
+
+def strict_cast(col: Column | str, kind: str) -> Column:
+    """``strict_cast_sql`` of a column by name, or the same of an expression."""
+    if isinstance(col, str):
+        return F.expr(strict_cast_sql(col, kind))
+    message = F.concat(col.cast("string"), F.lit(f" is no {kind}"))
+    return F.coalesce(col.try_cast(kind), F.when(col.isNotNull(), F.raise_error(message).cast(kind)))
+
+
 def as_int(col: Column | str) -> Column:
-    """CAST(x AS INTEGER). Inputs are integers; overflow raises under ANSI."""
-    return _c(col).cast("int")
+    """CAST(x AS INTEGER); overflow raises."""
+    return strict_cast(col, "int")
 
 
 def as_timestamp(col: Column | str) -> Column:
-    """CAST(x AS TIMESTAMP) as a zone-less timestamp."""
-    return _c(col).cast("timestamp_ntz")
+    """CAST(x AS TIMESTAMP) as a zone-less timestamp; malformed text raises."""
+    return strict_cast(col, "timestamp_ntz")
 
 
 def as_flag(col: Column | str) -> Column:

@@ -53,12 +53,14 @@ def schema_inventory(spark: SparkSession, database: str | None = None) -> DataFr
     """Q4: every table of a catalog database with its columns.
 
     Columns: table_name, column_name, column_type, nullable. An empty
-    database gives an empty result (not an error).
+    database gives an empty result (not an error). Temporary views of the
+    session are not tables of the database and left out.
     """
     db = database or spark.catalog.currentDatabase()
     rows = []
-    for table in sorted(spark.catalog.listTables(db), key=lambda t: t.name):
-        for col in spark.catalog.listColumns(f"{db}.{table.name}"):
+    tables = [t for t in spark.catalog.listTables(db) if not t.isTemporary]
+    for table in sorted(tables, key=lambda t: t.name):
+        for col in spark.catalog.listColumns(f"`{db}`.`{table.name}`"):
             rows.append((table.name, col.name, col.dataType.upper(), col.nullable))
     schema = ("table_name string, column_name string, column_type string, "
               "nullable boolean")

@@ -12,6 +12,7 @@ over its own connection (``num_partitions`` caps the connections).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Protocol
@@ -49,60 +50,98 @@ class CatalogTarget:
         return spark.catalog.tableExists(self.name(table))
 
     def replace_rows(self, df: DataFrame, table: str) -> None:
+        """Finish the rows in a table ``<table>__stage_...``, then overwrite
+        from it: rows that cannot be computed leave the table as it is, and
+        after a failed copy the stage still has them all."""
+        spark, stage = df.sparkSession, self.name(f"{table}__stage_{uuid.uuid4().hex}")
         # insertInto matches columns by position: follow the table's order.
-        target_cols = df.sparkSession.table(self.name(table)).columns
-        df.select(*target_cols).write.insertInto(self.name(table), overwrite=True)
+        target_cols = spark.table(self.name(table)).columns
+        try:
+            df.select(*target_cols).write.saveAsTable(stage)
+        except BaseException:
+            spark.sql(f"DROP TABLE IF EXISTS {stage}")
+            raise
+        spark.table(stage).write.insertInto(self.name(table), overwrite=True)
+        spark.sql(f"DROP TABLE {stage}")
 
     def create(self, df: DataFrame, table: str) -> None:
         df.write.saveAsTable(self.name(table))
 
 
+def jdbc_transaction(spark: SparkSession, options: Mapping[str, str],
+                     statements: Sequence[str]) -> None:
+    """Run ``statements`` in one transaction of the database, from the driver;
+    they move rows inside the database only."""
+    jvm = spark.sparkContext._jvm
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    driver = jvm.java.lang.Class.forName(options["driver"], True, loader)
+    properties = jvm.java.util.Properties()
+    for name in ("user", "password"):
+        if options.get(name):
+            properties.setProperty(name, options[name])
+    connection = driver.getDeclaredConstructor().newInstance().connect(options["url"], properties)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        try:
+            for text in statements:
+                statement.executeUpdate(text)
+            connection.commit()
+        except BaseException:
+            connection.rollback()
+            raise
+        finally:
+            statement.close()
+    finally:
+        connection.close()
+
+
 @dataclass
 class JdbcTarget:
     """Serving tables in a relational database over JDBC.
 
-    ``replace_rows`` is Spark's truncate-overwrite: the table is truncated,
-    then the tasks insert in parallel, each in its own transaction. Readers
-    can therefore see a partly loaded table. When ``swap`` is given, rows go
-    to ``<table>__stage`` first and ``swap(statements)`` must run the returned
-    statements in ONE transaction on the database (truncate target, copy
-    from stage, drop stage), which makes each table's refresh all-or-nothing.
+    ``replace_rows`` loads the rows into ``<table>__stage`` (tasks insert in
+    parallel), then empties and refills the table from it in one transaction
+    (``transaction``), columns by name: readers see the old rows or the new
+    ones, and a failure anywhere leaves the old.
     """
     options: dict[str, str]
     num_partitions: int = 8
     batch_size: int = 10_000
-    swap: Callable[[Sequence[str]], None] | None = None
+    schema: str = "public"
+    transaction: Callable[[SparkSession, Mapping[str, str], Sequence[str]], None] = jdbc_transaction
+
+    def name(self, table: str) -> str:
+        return f"{self.schema}.{table}"
 
-    def _write(self, df: DataFrame, table: str, truncate: bool) -> None:
+    def _write(self, df: DataFrame, table: str) -> None:
         # numPartitions caps concurrent connections (Spark coalesces to it)
         (df.write.format("jdbc")
          .options(**self.options)
-         .option("dbtable", table)
+         .option("dbtable", self.name(table))
          .option("numPartitions", str(self.num_partitions))
          .option("batchsize", str(self.batch_size))
-         .option("truncate", "true" if truncate else "false")
          .mode("overwrite").save())
 
     def exists(self, spark: SparkSession, table: str) -> bool:
         probe = (spark.read.format("jdbc").options(**self.options)
                  .option("query",
                          "SELECT COUNT(*) AS n FROM information_schema.tables "
-                         f"WHERE table_schema = 'public' AND table_name = '{table}'")
+                         f"WHERE table_schema = '{self.schema}' AND table_name = '{table}'")
                  .load().first())
         return bool(probe["n"])
 
     def replace_rows(self, df: DataFrame, table: str) -> None:
-        if self.swap is None:
-            self._write(df, table, truncate=True)
-            return
-        stage = f"{table}__stage"
-        self._write(df, stage, truncate=False)
-        self.swap([f"TRUNCATE TABLE {table}",
-                   f"INSERT INTO {table} SELECT * FROM {stage}",
-                   f"DROP TABLE {stage}"])
+        target, stage = self.name(table), self.name(f"{table}__stage")
+        columns = ", ".join(f'"{c}"' for c in df.columns)
+        self._write(df, f"{table}__stage")
+        self.transaction(df.sparkSession, self.options, [
+            f"TRUNCATE TABLE {target}",
+            f"INSERT INTO {target} ({columns}) SELECT {columns} FROM {stage}",
+            f"DROP TABLE {stage}"])
 
     def create(self, df: DataFrame, table: str) -> None:
-        self._write(df, table, truncate=False)
+        self._write(df, table)
 
 
 def publish_table(df: DataFrame, target: ServingTarget, serving_table: str,

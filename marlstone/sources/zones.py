@@ -1,15 +1,18 @@
 """Parquet zones: ``<root>/<zone>/<table>/`` directories of part files
 (SURVEY S3, S4, K1, K2).
 
-A zone table is written by one Spark job: every task writes its own part
-files through the output committer, so a lost executor only re-runs its
-tasks and the job commits all-or-nothing. The written table is what the
+A zone table is written by one Spark job into a folder of its own beside the
+table's and takes the table's place only when it is complete: a failed write
+leaves the old rows as they were. A read requires the committer's ``_SUCCESS``
+marker and every declared column, so an unfinished or reshaped table stops the
+next stage instead of looking empty or NULL. The written table is what the
 next stage reads, which also cuts the lineage between stages (a restarted
 stage starts from files, not from a recomputation of the previous stage).
 """
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -37,17 +40,58 @@ def expected_schema(zone: str, table: str) -> T.StructType | None:
     return ZONES.get(zone, {}).get(table)
 
 
+class UnreadableTable(RuntimeError):
+    """A zone table that no finished write has left, or without a declared column."""
+
+
+def _files(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and a function that makes its paths."""
+    jvm = spark.sparkContext._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def _family(kind: T.DataType) -> str:
+    if isinstance(kind, T.IntegralType):
+        return "integer"
+    if isinstance(kind, (T.DecimalType, T.FractionalType)):
+        return "number"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return "timestamp"
+    return kind.simpleString()
+
+
+def _check_columns(name: str, actual: T.StructType, declared: T.StructType, exact: bool) -> None:
+    have = {f.name: f.dataType for f in actual.fields}
+    for f in declared.fields:
+        if f.name not in have:
+            raise UnreadableTable(f"{name}: no column {f.name}")
+        same = have[f.name] == f.dataType if exact else _family(have[f.name]) == _family(f.dataType)
+        if not same:
+            raise UnreadableTable(f"{name}: {f.name} is {have[f.name].simpleString()}, "
+                                  f"declared {f.dataType.simpleString()}")
+
+
 def read_table(spark: SparkSession, root: str, zone: str, table: str,
                schema: T.StructType | None = None) -> DataFrame:
-    """Read every part file of a zone table (or one file path).
+    """S3: read every part file of a finished zone table.
 
-    The declared schema is passed to the reader, so no footer inference job
-    runs and a missing or mistyped column fails at read time. Column pruning
+    The files' own schema (one footer) is checked against the declared one: a
+    missing column raises, so does another type. Bronze keeps the source's
+    types and any further columns, so there only the kind of type has to
+    agree; Silver and Gold have exactly the declared columns. Column pruning
     and filter pushdown of later operators reach this scan.
     """
-    schema = schema or expected_schema(zone, table)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(zone_path(root, zone, table))
+    declared = schema or expected_schema(zone, table)
+    path = zone_path(root, zone, table)
+    fs, make = _files(spark, path)
+    if not fs.exists(make(f"{path}/_SUCCESS")):
+        raise UnreadableTable(f"{zone}.{table}: no finished write in {path}")
+    df = spark.read.parquet(path)
+    if declared is None:
+        return df
+    _check_columns(f"{zone}.{table}", df.schema, declared, exact=zone != "bronze")
+    return df if zone == "bronze" else df.select(*declared.names)
 
 
 def read_path(spark: SparkSession, path: str,
@@ -61,40 +105,56 @@ def write_table(df: DataFrame, root: str, zone: str, table: str,
                 check_schema: bool = True) -> WriteResult:
     """K1 + K2: replace ``<root>/<zone>/<table>`` with ``df``; count rows.
 
-    The row count is gathered by an ``Observation`` during the write itself
+    The rows are written beside the table and moved into its place when they
+    are complete; until then, and after a failure, the old rows are there. The row count is gathered by an ``Observation`` during the write itself
     (no second scan). ``check_schema`` asserts the declared zone schema
     before any work starts.
     """
     expected = expected_schema(zone, table)
-    if check_schema and expected is not None and not same_columns(df.schema, expected):
-        raise ValueError(
-            f"{zone}.{table}: schema {df.schema.simpleString()} does not match "
-            f"the declared {expected.simpleString()}")
+    if check_schema and expected is not None:
+        if zone == "bronze":
+            _check_columns(f"{zone}.{table}", df.schema, expected, exact=False)
+        elif not same_columns(df.schema, expected):
+            raise ValueError(
+                f"{zone}.{table}: schema {df.schema.simpleString()} does not match "
+                f"the declared {expected.simpleString()}")
     path = zone_path(root, zone, table)
     obs = Observation(f"{zone}_{table}_rows")
-    with _job_description(df.sparkSession, f"write {zone}.{table}"):
-        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-           .write.mode("overwrite").parquet(path))
+    new = f"{zone_path(root, zone, '_' + table)}-{uuid.uuid4().hex}"
+    fs, make = _files(df.sparkSession, path)
+    try:
+        with _job_description(df.sparkSession, f"write {zone}.{table}"):
+            (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+               .write.mode("errorifexists").parquet(new))
+        _take_place(fs, make, new, path)
+    except BaseException:
+        fs.delete(make(new), True)
+        raise
     return WriteResult(table, path, int(obs.get["rows"]))
 
 
+def _take_place(fs, make, new: str, path: str) -> None:
+    """Move folder ``new`` to ``path``; what was there goes afterwards."""
+    old = f"{new}-old"
+    had = fs.exists(make(path))
+    if had and not fs.rename(make(path), make(old)):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(make(new), make(path)):
+        if had:
+            fs.rename(make(old), make(path))
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(make(old), True)
+
+
 @contextmanager
 def _job_description(spark: SparkSession, text: str):
-    """Name the jobs of a block in the event log / monitoring (best effort:
-    a Spark Connect session has no SparkContext and is left unlabelled)."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect
-        sc = None
-    if sc is not None:
-        sc.setJobDescription(text)
+    """Name the jobs of a block in the event log / monitoring, then restore
+    the caller's name."""
+    sc = spark.sparkContext
+    before = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(text)
     try:
         yield
     finally:
-        if sc is not None:
-            sc.setJobDescription(None)
-
-
-def count_rows(spark: SparkSession, path: str) -> int:
-    """Row count of a written table (answered from Parquet metadata)."""
-    return spark.read.parquet(path).count()
+        sc.setJobDescription(before)

@@ -10,10 +10,10 @@ from decimal import Decimal
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from marlstone.operators import clean_orders
-from marlstone.schemas import BRONZE
-from marlstone.sources.publish import JdbcTarget
+from marlstone.sources.publish import JdbcTarget, jdbc_transaction
 from marlstone.sources.relational import JdbcSource
 from marlstone.sources.zones import read_path
 
@@ -53,7 +53,7 @@ def test_jdbc_source_splits_on_primary_key(spark, monkeypatch):
             return r
 
     src = JdbcSource({"url": "jdbc:x://h/db", "user": "u", "password": "p",
-                      "driver": "D"}, num_partitions=16)
+                      "driver": "D"}, rows_per_slice=64)
     monkeypatch.setattr(type(spark), "read", property(lambda self: FakeRead()))
     df = src.read(spark, "staging_products")
 
@@ -65,9 +65,14 @@ def test_jdbc_source_splits_on_primary_key(spark, monkeypatch):
     assert (scan.opts["lowerBound"], scan.opts["upperBound"]) == ("1", "1001")
     assert scan.opts["numPartitions"] == "16"
     assert scan.opts["preferTimestampNTZ"] == "true"
-    # conformed to the Bronze schema (long -> int)
-    assert df.dtypes == [("product_id", "int"), ("create_at", "timestamp_ntz"),
-                         ("product_name", "string")]
+    # SELECT *: the source's own columns and types
+    assert df.dtypes == table_df.dtypes
+    # a small key range is one statement, a table without a known key too
+    readers.clear()
+    JdbcSource({"url": "u"}).read(spark, "staging_products")
+    JdbcSource({"url": "u"}).read(spark, "anything")
+    assert all("partitionColumn" not in r.opts for r in readers)
+    assert readers[-1].opts["dbtable"] == "public.anything"
 
 
 class RecordingWriter:
@@ -94,6 +99,9 @@ class RecordingWriter:
 
 
 class FakeFrame:
+    columns = ["b", "a"]
+    sparkSession = "session"
+
     def __init__(self, log):
         self.log = log
 
@@ -102,26 +110,66 @@ class FakeFrame:
         return RecordingWriter(self.log)
 
 
-def test_jdbc_target_truncate_overwrite():
-    log = []
-    JdbcTarget({"url": "u"}, num_partitions=4).replace_rows(FakeFrame(log), "gold_x")
-    assert log == [{"url": "u", "dbtable": "gold_x", "numPartitions": "4",
-                    "batchsize": "10000", "truncate": "true", "mode": "overwrite"}]
+def test_jdbc_target_refills_in_one_transaction():
+    log, calls = [], []
+    target = JdbcTarget({"url": "u"}, num_partitions=4, schema="bi", transaction=lambda *a: calls.append(a))
+    target.replace_rows(FakeFrame(log), "gold_x")
+    assert log == [{"url": "u", "dbtable": "bi.gold_x__stage", "numPartitions": "4",
+                    "batchsize": "10000", "mode": "overwrite"}]
+    assert calls == [("session", {"url": "u"}, [
+        "TRUNCATE TABLE bi.gold_x",
+        'INSERT INTO bi.gold_x ("b", "a") SELECT "b", "a" FROM bi.gold_x__stage',
+        "DROP TABLE bi.gold_x__stage"])]
+
+
+def test_jdbc_target_runs_no_transaction_after_a_failed_load():
+    calls = []
+
+    class Failing(FakeFrame):
+        @property
+        def write(self):
+            raise OSError("no rows")
+
+    with pytest.raises(OSError):
+        JdbcTarget({"url": "u"}, transaction=lambda *a: calls.append(a)).replace_rows(Failing([]), "gold_x")
+    assert calls == []
+
+
+class RecordingJvm:
+    """Stands in for the JVM: a driver whose connection records its calls."""
+
+    def __init__(self, fail_on=None):
+        self.calls, self.fail_on = [], fail_on
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append((name, *args))
+            if name == "executeUpdate" and args[0] == self.fail_on:
+                raise ValueError("refused")
+            return self
+        return call if name not in ("java", "lang", "util", "Thread", "Class") else self
 
 
-def test_jdbc_target_staged_swap_in_one_call():
-    log, swaps = [], []
-    JdbcTarget({"url": "u"}, swap=swaps.append).replace_rows(FakeFrame(log), "gold_x")
-    assert [w["dbtable"] for w in log] == ["gold_x__stage"]
-    assert log[0]["truncate"] == "false"
-    assert swaps == [["TRUNCATE TABLE gold_x",
-                      "INSERT INTO gold_x SELECT * FROM gold_x__stage",
-                      "DROP TABLE gold_x__stage"]]
+@pytest.mark.parametrize("fail_on, end", [(None, "commit"), ("two", "rollback")])
+def test_jdbc_transaction(fail_on, end):
+    jvm = RecordingJvm(fail_on)
+    session = type("S", (), {"sparkContext": type("C", (), {"_jvm": jvm})})
+    options = {"url": "jdbc:x", "driver": "D", "user": "u", "password": "p"}
+    if fail_on:
+        with pytest.raises(ValueError):
+            jdbc_transaction(session, options, ["one", "two"])
+    else:
+        jdbc_transaction(session, options, ["one", "two"])
+    names = [c[0] for c in jvm.calls]
+    assert ("connect", "jdbc:x", jvm) in jvm.calls and ("setAutoCommit", False) in jvm.calls
+    assert [c[1] for c in jvm.calls if c[0] == "executeUpdate"] == ["one", "two"]
+    assert {"commit", "rollback"} & set(names) == {end}
+    assert names.count("close") == 2
 
 
 def test_existing_bronze_with_narrower_money_is_readable(spark, scratch):
-    """Bronze files holding NUMERIC(10,2) money (the shop's DDL) are read
-    through the declared (12,2) schema."""
+    """Bronze files keep the source's own decimals, as NUMERIC(10,2) of the
+    shop's DDL."""
     path = f"{scratch}/legacy_orders.parquet"
     money = pa.decimal128(10, 2)
     table = pa.table({
@@ -135,6 +183,6 @@ def test_existing_bronze_with_narrower_money_is_readable(spark, scratch):
         "cogs_usd": pa.array([Decimal("9.00"), Decimal("1.00")], money),
     })
     pq.write_table(table, path)
-    rows = clean_orders(read_path(spark, path, BRONZE["staging_orders"])).collect()
+    rows = clean_orders(read_path(spark, path)).collect()
     assert [(r.order_id, r.price_usd, r.created_at.isoformat()) for r in rows] == [
         (1, 19.99, "2026-06-10T10:03:30")]

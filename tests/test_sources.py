@@ -1,12 +1,17 @@
 """Connection settings, inspection helpers and zone writes."""
 
+import os
+import tempfile
+
 import pytest
+from pyspark.sql import functions as F
 
 from marlstone.operators import describe_columns, preview, sql_type_name
-from marlstone.schemas import BRONZE
+from marlstone.plans.pipeline import bronze_to_silver, extract_to_bronze
 from marlstone.sources.objectstore import bucket_root, object_store_conf
-from marlstone.sources.relational import conform, jdbc_options
-from marlstone.sources.zones import write_table
+from marlstone.sources.relational import CatalogSource, jdbc_options
+from marlstone.sources.publish import CatalogTarget, publish_table
+from marlstone.sources.zones import UnreadableTable, read_table, write_table
 from tests.fixtures import bronze_frames
 
 
@@ -54,16 +59,6 @@ def test_sql_type_names():
     assert sql_type_name(T.BooleanType()) == "BOOLEAN"
 
 
-def test_conform_casts_and_orders(spark):
-    from pyspark.sql import types as T
-    items = BRONZE["staging_order_items"]
-    target = T.StructType([items["product_id"], items["price_usd"]])
-    df = spark.createDataFrame([(1.0, 7, "x")],
-                               "price_usd double, product_id long, extra string")
-    out = conform(df, target)
-    assert out.dtypes == [("product_id", "int"), ("price_usd", "decimal(12,2)")]
-
-
 def test_write_table_rejects_wrong_schema(spark, scratch):
     df = spark.createDataFrame([(1,)], "order_id long")
     with pytest.raises(ValueError, match="silver.orders"):
@@ -78,3 +73,130 @@ def test_write_table_counts_rows(spark, scratch):
     # overwrite replaces, does not append
     assert write_table(df, scratch, "bronze", "staging_orders").row_count == 2
     assert spark.read.parquet(res.path).count() == 2
+
+
+def failing(df):
+    """``df`` with a row that raises when it is computed."""
+    return df.withColumn("items_purchased", F.expr("CAST(raise_error('broken') AS INT)"))
+
+
+def test_failed_overwrite_keeps_the_old_rows(spark, scratch):
+    root = tempfile.mkdtemp(prefix="keep-", dir=scratch)
+    df = bronze_frames(spark)["staging_orders"]
+    write_table(df, root, "bronze", "staging_orders")
+    with pytest.raises(Exception, match="broken"):
+        write_table(failing(df), root, "bronze", "staging_orders")
+    assert read_table(spark, root, "bronze", "staging_orders").count() == 2
+    assert os.listdir(f"{root}/bronze") == ["staging_orders"]
+
+
+def test_missing_column_raises(spark, scratch):
+    root = tempfile.mkdtemp(prefix="narrow-", dir=scratch)
+    df = bronze_frames(spark)["staging_orders"].drop("price_usd")
+    with pytest.raises(UnreadableTable, match="price_usd"):
+        write_table(df, root, "bronze", "staging_orders")
+    df.write.parquet(f"{root}/bronze/staging_orders")
+    with pytest.raises(UnreadableTable, match="price_usd"):
+        bronze_to_silver(spark, root, tables=["staging_orders"])
+
+
+def test_other_type_raises(spark, scratch):
+    root = tempfile.mkdtemp(prefix="typed-", dir=scratch)
+    spark.range(2).selectExpr("CAST(id AS STRING) AS product_id", "'x' AS product_name",
+                              "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS create_at"
+                              ).write.parquet(f"{root}/bronze/staging_products")
+    with pytest.raises(UnreadableTable, match="product_id"):
+        read_table(spark, root, "bronze", "staging_products")
+
+
+def test_unfinished_input_raises(spark, scratch):
+    root = tempfile.mkdtemp(prefix="open-", dir=scratch)
+    for name, df in bronze_frames(spark).items():
+        write_table(df, root, "bronze", name)
+    os.remove(f"{root}/bronze/staging_orders/_SUCCESS")
+    with pytest.raises(UnreadableTable, match="staging_orders"):
+        bronze_to_silver(spark, root)
+
+
+def test_extract_keeps_every_column_and_type(spark, scratch):
+    root = tempfile.mkdtemp(prefix="wide-", dir=scratch)
+    spark.sql("CREATE DATABASE IF NOT EXISTS wide_src")
+    rows = spark.sql("""SELECT 7L AS order_item_refund_id, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS create_at,
+        1 AS order_item_id, 1 AS order_id, CAST(-0.004 AS DECIMAL(14,4)) AS refund_amount_usd, 'x' AS note""")
+    rows.write.mode("overwrite").saveAsTable("wide_src.staging_order_item_refunds")
+    rows.select("note").write.mode("overwrite").saveAsTable("wide_src.not_declared")
+    extract_to_bronze(spark, CatalogSource("wide_src"), root, ["staging_order_item_refunds", "not_declared"])
+    bronze = read_table(spark, root, "bronze", "staging_order_item_refunds")
+    assert dict(bronze.dtypes)["refund_amount_usd"] == "decimal(14,4)" and "note" in bronze.columns
+    assert read_table(spark, root, "bronze", "not_declared").count() == 1
+    bronze_to_silver(spark, root, tables=["staging_order_item_refunds"])
+    silver = read_table(spark, root, "silver", "order_item_refunds")
+    assert silver.columns == ["order_item_refund_id", "created_at", "order_item_id", "order_id",
+                              "refund_amount_usd"]
+    assert silver.first()["refund_amount_usd"] == -0.004
+
+
+def test_failing_publish_keeps_the_old_rows(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS keep_bi")
+    target = CatalogTarget("keep_bi")
+    df = bronze_frames(spark)["staging_orders"]
+    assert publish_table(df, target, "gold_keep").created
+    with pytest.raises(Exception, match="broken"):
+        publish_table(failing(df), target, "gold_keep")
+    assert spark.table("keep_bi.gold_keep").count() == 2
+    # columns by name, whatever the frame's order
+    publish_table(df.select(*reversed(df.columns)), target, "gold_keep")
+    assert sorted(r.order_id for r in spark.table("keep_bi.gold_keep").collect()) == sorted(
+        r.order_id for r in df.collect())
+    assert [t.name for t in spark.catalog.listTables("keep_bi")] == ["gold_keep"]
+
+
+def test_job_description_is_restored(spark, scratch):
+    sc = spark.sparkContext
+    sc.setJobDescription("mine")
+    try:
+        write_table(bronze_frames(spark)["staging_orders"], scratch, "bronze", "staging_orders")
+        assert sc.getLocalProperty("spark.job.description") == "mine"
+    finally:
+        sc.setJobDescription(None)
+
+
+def test_inventory_in_a_session_with_temporary_views(spark):
+    from marlstone.operators import schema_inventory
+    spark.sql("CREATE DATABASE IF NOT EXISTS `odd_db`")
+    spark.sql("CREATE TABLE IF NOT EXISTS odd_db.`select` (a INT) USING parquet")
+    spark.range(1).createOrReplaceTempView("temporary_one")
+    try:
+        assert [(r.table_name, r.column_name) for r in schema_inventory(spark, "odd_db").collect()] == [("select", "a")]
+    finally:
+        spark.catalog.dropTempView("temporary_one")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("column, kind, value", [
+    ("order_id", "long", 4294967301), ("create_at", "string", "not a time"), ("user_id", "long", -(1 << 40))])
+def test_casts_raise_in_any_session(spark, ansi, column, kind, value):
+    from marlstone.functions import as_int, as_timestamp
+    df = spark.createDataFrame([(value,)], f"{column} {kind}")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        cast = as_timestamp if column == "create_at" else as_int
+        for c in (cast(column), cast(F.col(column))):
+            with pytest.raises(Exception, match="is no"):
+                df.select(c.alias("x")).collect()
+        assert df.select(F.lit(None).cast(kind).alias(column)).select(cast(column).alias("x")).first()["x"] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_wide_money_survives_in_any_session(spark, ansi):
+    from marlstone.operators import clean_orders
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = bronze_frames(spark)["staging_orders"].withColumn("price_usd", F.expr("CAST(12345678901.505 AS DECIMAL(20,3))"))
+        assert {r.price_usd for r in clean_orders(df).collect()} == {12345678901.505}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
