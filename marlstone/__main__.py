@@ -20,12 +20,12 @@ import sys
 from dataclasses import asdict
 
 
-def _source(spec: str | None, partitions: int):
+def _source(spec: str | None, rows_per_slice: int):
     from marlstone.sources.relational import CatalogSource, JdbcSource, jdbc_options
     if spec is None:
         return None
     if spec == "jdbc":
-        return JdbcSource(jdbc_options(), num_partitions=partitions)
+        return JdbcSource(jdbc_options(), rows_per_slice=rows_per_slice)
     if spec.startswith("catalog:"):
         return CatalogSource(spec.split(":", 1)[1] or None)
     raise SystemExit(f"unknown source {spec!r}: use jdbc or catalog:<db>")
@@ -46,6 +46,9 @@ def _target(spec: str | None, partitions: int):
 def _session(args):
     from marlstone.session import build_session
     conf = {}
+    if getattr(args, "shuffle_gb", None):
+        from marlstone.session import scale_conf
+        conf.update(scale_conf(args.shuffle_gb << 30, args.cores))
     if getattr(args, "s3", False):
         from marlstone.sources.objectstore import object_store_conf
         conf.update(object_store_conf())
@@ -57,6 +60,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--master", help="Spark master for local runs")
     parser.add_argument("--s3", action="store_true",
                         help="configure S3A from AWS_* environment variables")
+    parser.add_argument("--shuffle-gb", type=int,
+                        help="size shuffles for about this many GB in the largest exchange")
+    parser.add_argument("--cores", type=int, default=8,
+                        help="cores of the cluster, with --shuffle-gb")
     sub = parser.add_subparsers(dest="command", required=True)
 
     run = sub.add_parser("run", help="run pipeline stages")
@@ -66,7 +73,9 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--source", help="jdbc | catalog:<db>")
     run.add_argument("--target", help="jdbc | catalog:<db>")
     run.add_argument("--partitions", type=int, default=8,
-                     help="JDBC read slices / write connections")
+                     help="JDBC write connections")
+    run.add_argument("--rows-per-slice", type=int, default=1_000_000,
+                     help="keys of one JDBC read statement")
     run.add_argument("--max-jobs", type=int, default=4,
                      help="concurrent table writes in the silver / gold stages")
 
@@ -88,7 +97,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "run":
         from marlstone.plans.pipeline import run_pipeline
         result = run_pipeline(spark, args.root,
-                              source=_source(args.source, args.partitions),
+                              source=_source(args.source, args.rows_per_slice),
                               target=_target(args.target, args.partitions),
                               stages=args.stages, max_jobs=args.max_jobs)
         for stage, rows in result.stages.items():
@@ -105,7 +114,7 @@ def main(argv: list[str] | None = None) -> int:
         inv_df = schema_inventory(spark, args.database)
         if inv_df.isEmpty():
             print("no tables")
-        inv_df.show(1000, truncate=False)
+        inv_df.show(inv_df.count(), truncate=False)
     elif args.command == "seed":
         from marlstone.sources.relational import initialize_source
         from marlstone.sources.sample_data import SAMPLE_ROWS

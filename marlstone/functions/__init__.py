@@ -3,11 +3,10 @@
 from marlstone.functions.casts import as_flag, as_int, as_money, as_timestamp
 from marlstone.functions.metrics import net_profit, rate_percent, round2, zero_if_null
 from marlstone.functions.text import (
-    SPACE_SEPARATORS, lower_simple, normalize_text, trim_spaces)
+    SPACE_SEPARATORS, normalize_text, trim_spaces)
 
 __all__ = [
     "SPACE_SEPARATORS", "as_flag", "as_int", "as_money", "as_timestamp",
-    "lower_simple",
     "net_profit", "normalize_text", "rate_percent", "round2", "trim_spaces",
     "zero_if_null",
 ]

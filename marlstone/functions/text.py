@@ -61,13 +61,6 @@ def map_special_case_letters(col: Column | str) -> Column:
     return F.when(special, mapped).otherwise(c)
 
 
-def lower_simple(col: Column | str) -> Column:
-    """LOWER by the simple one-to-one case mapping (X5): the two characters
-    the JVM lowers differently are mapped first; all others are lowered by
-    ``lower`` itself, identically."""
-    return F.lower(map_special_case_letters(col))
-
-
 def normalize_text(col: Column | str, default: str | None = None,
                    lower: bool = True) -> Column:
     """``[LOWER](TRIM(COALESCE(col, default)))`` in that nesting order.

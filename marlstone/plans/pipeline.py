@@ -10,14 +10,13 @@ each other are submitted as concurrent Spark jobs (one driver thread each),
 so a small table's job does not leave the rest of the cluster idle and the
 tail of one job overlaps the next; the scheduler shares the executors. A
 stage still fails as a whole: when a write fails, the writes already running
-finish, then the first error (in table order) is raised and no later stage
-runs. Extract and publish stay sequential: they are bound by the database,
+finish, none starts any more, the first error (in table order) is raised and no
+later stage runs. Extract and publish stay sequential: they are bound by the database,
 and publish keeps the per-table order of its transactions.
 """
 
 from __future__ import annotations
 
-import functools
 import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -45,9 +44,10 @@ def extract_to_bronze(spark: SparkSession, source: TableSource, root: str,
 def write_concurrently(spark: SparkSession,
                        writes: Sequence[Callable[[], WriteResult]],
                        max_jobs: int) -> list[WriteResult]:
-    """Run independent table writes as concurrent Spark jobs; results in the
-    given order. All started writes finish before the first error (in the
-    given order) is raised.
+    """Run independent table writes as up to ``max_jobs`` concurrent Spark
+    jobs, started in the given order; results in that order. After an error no
+    further write starts; those already running finish, then the first error
+    (in the given order) is raised.
 
     The driver threads are ``InheritableThread``s, so each job carries the
     caller's job group, description and other local properties (cancelling
@@ -57,17 +57,21 @@ def write_concurrently(spark: SparkSession,
         return [w() for w in writes]
     results: list[WriteResult | None] = [None] * len(writes)
     errors: list[BaseException | None] = [None] * len(writes)
-    slots = threading.BoundedSemaphore(max_jobs)
-
-    def run(i: int) -> None:
-        with slots:
+    lock, waiting = threading.Lock(), list(range(len(writes)))
+
+    def run() -> None:
+        while True:
+            with lock:
+                if not waiting or any(errors):
+                    return
+                i = waiting.pop(0)
             try:
                 results[i] = writes[i]()
             except BaseException as e:  # re-raised on the calling thread
                 errors[i] = e
 
-    threads = [InheritableThread(functools.partial(run, i), session=spark)
-               for i in range(len(writes))]
+    threads = [InheritableThread(run, session=spark)
+               for _ in range(min(max_jobs, len(writes)))]
     for t in threads:
         t.start()
     for t in threads:

@@ -36,25 +36,42 @@ def test_results_in_given_order_and_caller_job_group_inherited(spark):
     assert 1 <= peak[0] <= 3
 
 
-def test_first_error_raised_after_the_other_writes_finish(spark):
-    done = []
+@pytest.mark.parametrize("max_jobs", [1, 2, 5])
+def test_no_write_starts_after_an_error(spark, max_jobs):
+    started, failed = [], threading.Event()
 
     def ok(i):
         def run():
+            started.append(i)
+            failed.wait(30 if max_jobs > 1 else 0)
             spark.range(10).count()
-            done.append(i)
             return i
         return run
 
+    def fails():
+        started.append(1)
+        failed.set()
+        raise ValueError("first")
+
+    writes = [ok(0), fails, *[ok(i) for i in range(2, 12)]]
+    with pytest.raises(ValueError, match="first"):
+        write_concurrently(spark, writes, max_jobs)
+    # the failing write and those that already ran beside it
+    assert 1 in started and len(started) <= max_jobs + 1
+    assert 11 not in started
+
+
+def test_first_error_in_the_given_order_is_raised(spark):
+    gate = threading.Barrier(2)
+
     def fails(msg):
         def run():
+            gate.wait(30)
             raise ValueError(msg)
         return run
 
-    writes = [ok(0), fails("first"), ok(2), fails("second"), ok(4)]
     with pytest.raises(ValueError, match="first"):
-        write_concurrently(spark, writes, max_jobs=2)
-    assert sorted(done) == [0, 2, 4]
+        write_concurrently(spark, [fails("first"), fails("second")], max_jobs=2)
 
 
 def test_one_job_at_a_time_runs_on_the_calling_thread(spark):
@@ -63,28 +80,27 @@ def test_one_job_at_a_time_runs_on_the_calling_thread(spark):
                               max_jobs=1) == [caller, caller]
 
 
-def test_silver_stage_fails_as_a_whole_but_writes_the_other_tables(spark, scratch):
-    """A missing Bronze table fails the stage; the other five Silver tables,
-    written concurrently, are complete."""
+@pytest.mark.parametrize("max_jobs", [1, 4])
+def test_silver_stage_stops_at_a_missing_table(spark, scratch, max_jobs):
+    """A missing Bronze table fails the stage; tables after it that had not
+    started are not written."""
     import os
     import tempfile
 
-    from pyspark.errors import AnalysisException
-
     from marlstone.plans.pipeline import bronze_to_silver
     from marlstone.schemas import BRONZE_TO_SILVER
-    from marlstone.sources.zones import read_table, write_table, zone_path
-    from tests.fixtures import SAMPLE_ROWS, bronze_frames
+    from marlstone.sources.zones import UnreadableTable, write_table, zone_path
+    from tests.fixtures import bronze_frames
 
     root = tempfile.mkdtemp(prefix="fail-", dir=scratch)
-    missing = "staging_orders"
-    for table, df in bronze_frames(spark).items():
+    frames = bronze_frames(spark)
+    missing = next(iter(BRONZE_TO_SILVER))
+    for table, df in frames.items():
         if table != missing:
             write_table(df, root, "bronze", table)
-    with pytest.raises(AnalysisException):
-        bronze_to_silver(spark, root)
-    for bronze, silver in BRONZE_TO_SILVER.items():
-        written = os.path.isdir(zone_path(root, "silver", silver))
-        assert written == (bronze != missing), silver
-    assert (read_table(spark, root, "silver", "website_sessions").count()
-            == len(SAMPLE_ROWS["staging_website_sessions"]))
+    with pytest.raises(UnreadableTable):
+        bronze_to_silver(spark, root, tables=list(BRONZE_TO_SILVER), max_jobs=max_jobs)
+    written = [t for t, silver in BRONZE_TO_SILVER.items()
+               if os.path.isdir(zone_path(root, "silver", silver))]
+    assert missing not in written
+    assert max_jobs > 1 or not written
