@@ -12,10 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _c(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
 def strict_cast_sql(column: str, kind: str) -> str:
     """SQL of a cast that keeps NULL and raises for a value without a result."""
     c = f"`{column}`"
@@ -23,29 +19,37 @@ def strict_cast_sql(column: str, kind: str) -> str:
             f"concat('{column}: ', CAST({c} AS STRING), ' is no {kind}')) AS {kind}) END)")
 
 
-def strict_cast(col: Column | str, kind: str) -> Column:
-    """``strict_cast_sql`` of a column by name, or the same of an expression."""
-    if isinstance(col, str):
-        return F.expr(strict_cast_sql(col, kind))
-    message = F.concat(col.cast("string"), F.lit(f" is no {kind}"))
-    return F.coalesce(col.try_cast(kind), F.when(col.isNotNull(), F.raise_error(message).cast(kind)))
-
-
-def as_int(col: Column | str) -> Column:
+def as_int_sql(column: str) -> str:
     """CAST(x AS INTEGER); overflow raises."""
-    return strict_cast(col, "int")
+    return strict_cast_sql(column, "int")
 
 
-def as_timestamp(col: Column | str) -> Column:
+def as_timestamp_sql(column: str) -> str:
     """CAST(x AS TIMESTAMP) as a zone-less timestamp; malformed text raises."""
-    return strict_cast(col, "timestamp_ntz")
+    return strict_cast_sql(column, "timestamp_ntz")
 
 
-def as_flag(col: Column | str) -> Column:
+def as_flag_sql(column: str) -> str:
     """CAST(int AS BOOLEAN): 0 -> false, other -> true, NULL -> NULL."""
-    return _c(col).cast("boolean")
+    return f"CAST(`{column}` AS BOOLEAN)"
 
 
-def as_money(col: Column | str) -> Column:
+def as_money_sql(column: str) -> str:
     """CAST(decimal AS DOUBLE): nearest double of the decimal value."""
-    return _c(col).cast("double")
+    return f"CAST(`{column}` AS DOUBLE)"
+
+
+def as_int(column: str) -> Column:
+    return F.expr(as_int_sql(column))
+
+
+def as_timestamp(column: str) -> Column:
+    return F.expr(as_timestamp_sql(column))
+
+
+def as_flag(column: str) -> Column:
+    return F.expr(as_flag_sql(column))
+
+
+def as_money(column: str) -> Column:
+    return F.expr(as_money_sql(column))

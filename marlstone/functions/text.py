@@ -1,7 +1,8 @@
 """Text cleaning expressions.
 
 All are built-in Catalyst expressions, so they stay inside whole-stage
-codegen; no Python runs per row.
+codegen; no Python runs per row. They are written as SQL text: one call into
+the JVM builds a whole column.
 """
 
 from __future__ import annotations
@@ -19,8 +20,20 @@ SPACE_SEPARATORS = (
 )
 
 
-def trim_spaces(col: Column | str) -> Column:
-    """Strip leading and trailing space separators (not tab / newline).
+# The two characters whose lower case in the JVM (full Unicode
+# case mapping) differs from the simple one-to-one mapping of the SQL LOWER
+# the rules are specified against: capital I with dot above (the JVM gives
+# "i" followed by U+0307) and capital sigma (the JVM gives the final sigma
+# U+03C2 at the end of a word). Each maps to its simple lower case.
+SIMPLE_LOWER_CASE = {"\u0130": "i", "\u03a3": "\u03c3"}
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def trim_spaces_sql(expression: str) -> str:
+    """SQL that strips leading and trailing space separators (not tab / newline).
 
     Spark's ``trim`` strips only U+0020; ``btrim`` with a character set
     strips any character of the set from both ends, which is what TRIM
@@ -31,51 +44,42 @@ def trim_spaces(col: Column | str) -> Column:
     Spark's default, exactly the characters ``>= U+0080``). Otherwise both
     ends are ASCII and not U+0020, so the set form would remove nothing.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    spaced = F.trim(c)
-    non_ascii = F.lit("\u0080")
-    at_ends = ((F.substring(spaced, 1, 1) >= non_ascii)
-               | (F.substring(spaced, -1, 1) >= non_ascii))
-    return F.when(at_ends, F.btrim(spaced, F.lit(SPACE_SEPARATORS))).otherwise(spaced)
-
+    spaced, high = f"trim({expression})", _literal("\u0080")
+    return (f"CASE WHEN substring({spaced}, 1, 1) >= {high} OR substring({spaced}, -1, 1) >= {high}"
+            f" THEN btrim({spaced}, {_literal(SPACE_SEPARATORS)}) ELSE {spaced} END")
 
-# The two characters whose lower case in the JVM (full Unicode
-# case mapping) differs from the simple one-to-one mapping of the SQL LOWER
-# the rules are specified against: capital I with dot above (the JVM gives
-# "i" followed by U+0307) and capital sigma (the JVM gives the final sigma
-# U+03C2 at the end of a word). Each maps to its simple lower case.
-SIMPLE_LOWER_CASE = {"\u0130": "i", "\u03a3": "\u03c3"}
 
+def special_case_letters_sql(column: str) -> str:
+    """SQL that replaces the two letters of ``SIMPLE_LOWER_CASE`` by their
+    simple lower case. ``translate`` rebuilds the string, so it runs only on
+    values that contain one of them (a byte search each)."""
+    special = " OR ".join(f"contains({column}, {_literal(ch)})" for ch in SIMPLE_LOWER_CASE)
+    return (f"CASE WHEN {special} THEN translate({column}, {_literal(''.join(SIMPLE_LOWER_CASE))}, "
+            f"{_literal(''.join(SIMPLE_LOWER_CASE.values()))}) ELSE {column} END")
 
-def map_special_case_letters(col: Column | str) -> Column:
-    """Replace the two letters of ``SIMPLE_LOWER_CASE`` by their simple lower
-    case. ``translate`` rebuilds the string, so it runs only on values that
-    contain one of them (a byte search each). Pass a plain column: the input
-    is referenced four times in the expression."""
-    c = F.col(col) if isinstance(col, str) else col
-    special = None
-    for ch in SIMPLE_LOWER_CASE:
-        special = c.contains(ch) if special is None else special | c.contains(ch)
-    mapped = F.translate(c, "".join(SIMPLE_LOWER_CASE),
-                         "".join(SIMPLE_LOWER_CASE.values()))
-    return F.when(special, mapped).otherwise(c)
 
-
-def normalize_text(col: Column | str, default: str | None = None,
-                   lower: bool = True) -> Column:
-    """``[LOWER](TRIM(COALESCE(col, default)))`` in that nesting order.
+def normalize_text_sql(column: str, default: str | None = None, lower: bool = True) -> str:
+    """SQL of ``[LOWER](TRIM(COALESCE(column, default)))`` in that nesting order.
 
     The default is applied *before* trimming, so a blank value becomes the
     empty string, not the default (X7). ``lower=False`` keeps case (used for
     the referer and product names).
     """
-    c = F.col(col) if isinstance(col, str) else col
+    c = f"`{column}`"
     if lower:
         # on the raw value, where it is cheap to reference: the two letters
         # are not space separators and the defaults are ASCII, so mapping
         # them before COALESCE and TRIM gives the same result as after
-        c = map_special_case_letters(c)
+        c = special_case_letters_sql(c)
     if default is not None:
-        c = F.coalesce(c, F.lit(default))
-    c = trim_spaces(c)
-    return F.lower(c) if lower else c
+        c = f"coalesce({c}, {_literal(default)})"
+    c = trim_spaces_sql(c)
+    return f"lower({c})" if lower else c
+
+
+def trim_spaces(column: str) -> Column:
+    return F.expr(trim_spaces_sql(f"`{column}`"))
+
+
+def normalize_text(column: str, default: str | None = None, lower: bool = True) -> Column:
+    return F.expr(normalize_text_sql(column, default, lower))
