@@ -52,9 +52,20 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.most = most
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.last = np.array([s.endswith("</w>") for s, _ in sorted(
+            self.tokenizer.get_vocab(with_added_tokens=False).items(), key=lambda x: x[1])])
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, from one text of all: a word's last id says so."""
+        ids = self._encode(" ".join(words))
+        cut = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
+        if len(cut) != len(words) + 1:
+            return [self._encode(w).tobytes() for w in words]
+        raw = ids.tobytes()
+        return [raw[lo:hi] for lo, hi in zip(cut, cut[1:])]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         words = [None if OTHER.search(t) else WORD.findall(t.lower()) for t in texts]
@@ -63,9 +74,9 @@ class Encoder:
             self.known = {}
         new = [w for w in asked if w not in self.known]
         for i in range(0, len(new), 4096):
-            self.known.update(zip(new[i:i + 4096], self._encode(new[i:i + 4096])))
+            self.known.update(zip(new[i:i + 4096], self._encode_words(new[i:i + 4096])))
         get = self.known.__getitem__
-        return [self._encode([t])[0] if ws is None else b"".join(map(get, ws))
+        return [self._encode(t).tobytes() if ws is None else b"".join(map(get, ws))
                 for t, ws in zip(texts, words)]
 
 
