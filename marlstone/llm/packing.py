@@ -10,7 +10,8 @@ is certified. In the next round the partitions with a gap give up all sequences
 are not full, and every partition its emptiest one, whose rest may fit with
 those of others; these pieces are dealt anew and packed again. Rounds end when the whole count
 equals the bound of all pieces' ids, when nothing is left to exchange, when one
-partition has packed everything given up, or after ``rounds``.
+partition has packed everything given up, when an exchange saves no sequence
+(what was packed before it then stays), or after ``rounds``.
 
 Ids: those of the tokenizer, then ``end_id``. Words are encoded once each and
 kept, which gives the tokenizer's own ids because it treats the words of its
@@ -182,7 +183,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, share: int = 10_000, rounds: i
     rest = staged(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     size = rest.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("ids")).first()
     bound = -(-(size["ids"] or 0) // capacity)
-    left, kept, settled = size["n"], [], 0
+    left, kept, settled, best, before = size["n"], [], 0, None, None
     for turn in range(rounds):
         parts = max(1, -(-left // share))
         dealt = rest.withColumn("part", F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(parts)))
@@ -190,7 +191,11 @@ def pack(pieces: DataFrame, capacity: int = 4096, share: int = 10_000, rounds: i
         of = packed.groupBy("sequence_id").agg(F.first("give").alias("give"), F.count(F.lit(1)).alias("n"))
         now = of.agg(F.count(F.lit(1)).alias("all"), F.count_if("give").alias("given"),
                      F.sum(F.when(F.col("give"), F.col("n"))).alias("n")).first()
-        done = settled + now["all"] <= bound or not now["given"] or parts == 1 or turn == rounds - 1
+        if best is not None and settled + now["all"] >= best:
+            kept[-1] = before  # the exchange has saved nothing
+            break
+        best, before = settled + now["all"], packed
+        done = best <= bound or not now["given"] or parts == 1 or turn == rounds - 1
         kept.append(packed if done else packed.where(~F.col("give")))
         if done:
             break

@@ -347,11 +347,12 @@ def test_bounds_and_best_fit(low, high):
 
 def test_partitions_exchange(spark):
     pieces = spark.range(3000).selectExpr("id", "cast(1 + id * 37 % 95 as long) as length")
-    rows = pack(pieces, capacity=100, share=100).collect()
-    check_sequences([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 100)
-    assert len(rows) == len({r["id"] for r in rows}) == 3000
-    bound = -(-sum(r["length"] for r in rows) // 100)
-    assert len({r["sequence_id"] for r in rows}) <= bound + 3
+    bound = lower_bound(np.array([1 + i * 37 % 95 for i in range(3000)]), 100)
+    for share, more in ((100, 1.05), (1000, 1.01), (3000, 1.0)):
+        rows = pack(pieces, capacity=100, share=share).collect()
+        check_sequences([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 100)
+        assert len(rows) == len({r["id"] for r in rows}) == 3000
+        assert len({r["sequence_id"] for r in rows}) <= more * bound
 
 
 def test_words_of_the_tagger_are_bytes():
