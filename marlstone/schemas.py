@@ -1,8 +1,9 @@
 """Declared schemas of every zone.
 
-Nothing is inferred: Bronze reads pass these to ``read.schema(...)`` and
-every Silver/Gold operator ends in a ``select`` that produces exactly the
-matching Silver/Gold struct (checked by ``conform`` in tests).
+Zone reads check the files' own schema against these: Bronze, which keeps the
+source's types and any further columns, by name and kind of type; Silver and
+Gold exactly, and every Silver / Gold operator ends in a projection that
+produces the matching struct.
 """
 
 from __future__ import annotations
