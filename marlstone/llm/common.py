@@ -80,6 +80,21 @@ def row_slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The groups of sorted rows with equal ``key``, one by one."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        now = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
+        key = now["key"].to_numpy()
+        cut = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist()]
+        for lo, hi in zip(cut, cut[1:]):
+            yield now.slice(lo, hi - lo)
+        rest = now.slice(cut[-1]) if len(key) else rest
+    if rest is not None and len(rest):
+        yield rest
+
+
 def package_path(path: str) -> str:
     """Place of a vocabulary file of the public tokenizers by its name; a path
     stays as it is."""

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import bit_filter, flat, maybe_in, row_slices, staged, without
+from marlstone.llm.common import bit_filter, by_key, flat, maybe_in, row_slices, staged, without
 from marlstone.llm.components import components
 
 SHINGLE, COORDINATES, RATE = 5, 64, 0.6
@@ -184,21 +184,6 @@ def survival(similarity: float, depth: int) -> float:
     return p
 
 
-def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The groups of sorted rows with equal ``key``, one by one."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        now = pa.Table.from_batches([batch])
-        now = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
-        key = now["key"].to_numpy()
-        cut = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist()]
-        for lo, hi in zip(cut, cut[1:]):
-            yield now.slice(lo, hi - lo)
-        rest = now.slice(cut[-1]) if len(key) else rest
-    if rest is not None and len(rest):
-        yield rest
-
-
 def _close(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows, i < j, that the embedding takes for alike."""
     sig = _signatures(group["sig"].combine_chunks())
@@ -218,7 +203,7 @@ def _close(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """path, record of the records with an apparent partner."""
     paths, records = [], []
-    for group in _by_key(batches):
+    for group in by_key(batches):
         i, j = _close(group)
         on = np.unique(np.concatenate([i, j]))
         paths.append(group["path"].to_numpy()[on])
@@ -235,7 +220,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _links(similarity: float):
     """record, links, root: of each key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _by_key(batches):
+        for group in by_key(batches):
             pairs = list(zip(*(x.tolist() for x in _close(group))))
             if not pairs:
                 continue

@@ -4,12 +4,13 @@ Lines are the parts of a text between newlines, compared after A-Z are
 lower-cased and outer spaces dropped; those of fewer than ``least`` characters are never
 removed. Two lines are alike if the Jaccard similarity of their sets of
 ``SHINGLE``-byte strings is ``similarity`` or more. Signatures of ``BANDS`` x
-``ROWS`` smallest hashes are cut into bands; lines that agree in a band meet,
-each is compared with the band's least line by their exact sets, those that
-are not alike choose a least line among themselves and so on until none is
-left. A pair of similarity 0.8 misses all bands with a probability under 1 %,
-one of 0.9 under 1 in 10,000. Connected lines form a class; the first line of
-a class, by doc_id and then by place, stays.
+``ROWS`` smallest hashes are cut into bands; lines that agree in a band are
+compared by their exact sets until those alike are connected. A large band
+is compared in blocks, one line of each connected group going on to the next
+round, so no task gets all lines of a hot band. A pair of
+similarity 0.8 misses all bands with a probability under 1 %, one of 0.9 under
+1 in 10,000. Connected lines form a class; the first line of a class, by doc_id
+and then by place, stays.
 
 Defined cases: NULL text stays NULL and has no lines; an empty text has one
 empty line; rows with the same doc_id and text are the same document and keep
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import LOWER, UPPER, bit_filter, flat, maybe_in, row_slices, staged
+from marlstone.llm.common import LOWER, UPPER, bit_filter, by_key, flat, maybe_in, row_slices, staged
 from marlstone.llm.components import components
 
 SHINGLE, BANDS, ROWS = 8, 12, 5
@@ -80,21 +81,50 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["band", "line"])
 
 
-def jaccard(a: bytes, b: bytes, size: int) -> float:
-    s = {a[i:i + size] for i in range(len(a) - size + 1)}
-    t = {b[i:i + size] for i in range(len(b) - size + 1)}
-    both = len(s & t)
-    return both / (len(s) + len(t) - both) if s or t else 0.0
+def shingles(line: bytes) -> np.ndarray:
+    """The set of a line's shingles, as sorted 64-bit numbers."""
+    if len(line) < SHINGLE:
+        return np.zeros(0, np.uint64)
+    data = np.frombuffer(line, np.uint8).astype(np.uint64)
+    out = np.zeros(len(data) - SHINGLE + 1, np.uint64)
+    for k in range(SHINGLE):
+        out = out << np.uint64(8) | data[k:len(data) - SHINGLE + 1 + k]
+    return np.unique(out)
 
 
-def _compare(similarity: float):
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)) or not len(a):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both)
+
+
+def _connect(similarity: float):
+    """band, line, root: the connected lines of each key, lines that are
+    connected already not being compared again. Keys with two parts compare
+    only lines of different parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column("body").to_pylist(), batch.column("other").to_pylist())
-            alike = [jaccard(a.encode(), b.encode(), SHINGLE) >= similarity for a, b in pairs]
+        for group in by_key(batches):
+            lines, part = group["line"].to_numpy(), group["part"].to_numpy()
+            across = group["low"][0].as_py() != group["high"][0].as_py()
+            sets = [shingles(b.encode()) for b in group["body"].to_pylist()]
+            root = list(range(len(lines)))
+
+            def top(x: int) -> int:
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+            for i in range(len(lines)):
+                for j in range(i):
+                    if across and part[i] == part[j]:
+                        continue
+                    x, y = top(i), top(j)
+                    if x != y and alike(sets[i], sets[j], similarity):
+                        root[x] = y
             yield pa.RecordBatch.from_arrays(
-                [batch.column("line"), batch.column("rep"), pa.array(alike, pa.bool_())],
-                ["line", "rep", "alike"])
+                [group["band"].combine_chunks(), pa.array(lines),
+                 pa.array(lines[[top(i) for i in range(len(lines))]])], ["band", "line", "root"])
     return run
 
 
@@ -109,38 +139,59 @@ def lines_of(docs: DataFrame, least: int) -> DataFrame:
                     F.xxhash64(F.lit(2), "body").alias("line2"), "body"))
 
 
-def alike_pairs(lines: DataFrame, similarity: float) -> DataFrame:
-    """a, b: pairs of line hashes whose lines are alike, enough of them to
-    connect all lines that meet in a band."""
-    banded = (lines.select("line", "body").mapInArrow(_band_keys, "band long, line long")
-              .repartition("band"))
-    shared = (banded.groupBy("band").agg(F.min("line").alias("rep"), F.max("line").alias("most"))
-              .where(F.col("rep") != F.col("most")).select("band", "rep"))
-    open_ = staged(banded.join(shared, "band").select("band", "line").distinct(), "open")
+def _one_of_each(buckets: DataFrame) -> DataFrame:
+    """band, line of one band for each set of lines."""
+    same = buckets.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("line")).alias("x"),
+        F.bit_xor(F.xxhash64("line", F.lit(1))).alias("y"))
+    once = same.groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band")
+    return buckets.join(once, "band")
+
+
+def linked_lines(lines: DataFrame, similarity: float, block: int = 256) -> DataFrame:
+    """a, b: pairs of line hashes that connect the alike lines of each band.
+    Lines of a band of more than ``block`` meet in random blocks, then one of
+    each connected group goes on; when that makes a band no smaller, its blocks
+    are compared pair by pair."""
+    banded = lines.select("line", "body").mapInArrow(_band_keys, "band long, line long").repartition("band")
+    shared = (banded.groupBy("band").agg(F.min("line").alias("least"), F.max("line").alias("most"))
+              .where(F.col("least") != F.col("most")).select("band"))
+    met = staged(banded.join(shared, "band").distinct(), "met")
+    open_ = staged(_one_of_each(met), "open")
     wanted = open_.select("line").distinct()
     bodies = staged(
         maybe_in(lines.select("line", "body"), ["line"], bit_filter(wanted, ["line"]))
         .dropDuplicates(["line"]).join(wanted, "line"), "bodies")
-    found = None
-    while not open_.isEmpty():
-        rep = open_.groupBy("band").agg(F.min("line").alias("rep"))
-        met = open_.join(rep, "band").where(F.col("line") != F.col("rep"))
-        compared = staged(
-            met.select("line", "rep").distinct().join(bodies, "line")
-            .join(bodies.select(F.col("line").alias("rep"), F.col("body").alias("other")), "rep")
-            .select("line", "rep", "body", "other")
-            .mapInArrow(_compare(similarity), "line long, rep long, alike boolean"), "compared")
-        alike = compared.where("alike").select(F.col("line").alias("a"), F.col("rep").alias("b"))
-        found = alike if found is None else found.unionByName(alike)
-        open_ = staged(met.join(compared.where(~F.col("alike")), ["line", "rep"])
-                       .select("band", "line"), "open")
-    return found if found is not None else lines.sparkSession.createDataFrame([], "a long, b long")
+    found, turn, stuck = [], 0, False
+    while True:
+        sized = open_.join(open_.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band")
+        parts = F.expr(f"cast((n + {block - 1}) div {block} as int)")
+        dealt = sized.withColumn("parts", parts).withColumn(
+            "part", F.pmod(F.xxhash64("line", F.lit(turn)), F.col("parts")).cast("int"))
+        others = F.sequence(F.lit(0), F.col("parts") - 1) if stuck else F.array("part")
+        dealt = (dealt.withColumn("other", F.explode(others))
+                 .withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
+                 .withColumn("key", F.xxhash64("band", "low", "high")))
+        joined = (dealt.join(bodies, "line").select("key", "band", "line", "part", "low", "high", "parts", "body")
+                  .repartition("key").sortWithinPartitions("key"))
+        done = staged(joined.mapInArrow(_connect(similarity), "band long, line long, root long"), "connected")
+        found.append(done.where("line <> root").select(F.col("line").alias("a"), F.col("root").alias("b")))
+        large = sized.where(F.col("n") > block).select("band").distinct()
+        heads = staged(done.where("line = root").join(large, "band").select("band", "line").distinct(), "heads")
+        before, after = sized.where(F.col("n") > block).count(), heads.count()
+        if stuck or not after:
+            break
+        stuck, open_, turn = after > 0.5 * before, heads, turn + 1
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def removed_lines(docs: DataFrame, least: int, similarity: float) -> DataFrame:
     """doc, text_key, places: the places of the lines that go."""
     lines = lines_of(docs, least)
-    linked = components(alike_pairs(lines, similarity))
+    linked = components(linked_lines(lines, similarity))
     placed = staged(lines.drop("body").distinct(), "lines")
     # classes by hash: a linked class has the component, any other its own 128-bit hash
     counts = placed.groupBy("line", "line2").agg(F.count(F.lit(1)).alias("n"))

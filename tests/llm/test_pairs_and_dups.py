@@ -10,7 +10,7 @@ from marlstone.llm.common import bit_filter, maybe_in, without
 from marlstone.llm.components import components
 from marlstone.llm.exact_dedup import exact_dedup, powers
 from marlstone.llm.jaccard_join import jaccard_dedup, jaccard_join, survival
-from marlstone.llm.line_dedup import drop_repeated_lines, jaccard, line_dedup
+from marlstone.llm.line_dedup import alike, drop_repeated_lines, line_dedup, linked_lines, shingles as line_shingles
 from marlstone.llm.suffix_dedup import suffix_dedup
 from tests.llm.fixtures import SCHEMA, UPPER, corpus, words
 
@@ -140,14 +140,15 @@ def line_truth(least=24, similarity=0.8):
                 found.setdefault(body, []).append((rank, t, k))
     bodies = list(found)
     root = list(range(len(bodies)))
+    sets = [{b.encode()[i:i + 8] for i in range(len(b.encode()) - 7)} for b in bodies]
 
     def top(x):
         while root[x] != x:
             x = root[x]
         return x
-    for i in range(len(bodies)):
-        for j in range(i):
-            if jaccard(bodies[i].encode(), bodies[j].encode(), 8) >= similarity:
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= similarity * len(a | b):
                 root[top(i)] = top(j)
     classes = defaultdict(list)
     for i, b in enumerate(bodies):
@@ -181,6 +182,26 @@ def test_line_dedup(docs):
     assert sum(got.values()) == len(ROWS)
 
 
+@pytest.mark.parametrize("block", [2, 8, 256])
+def test_lines_of_a_large_band(spark, block):
+    # near copies of three lines, and lines that only begin alike
+    rng = np.random.default_rng(2)
+    base = ["".join(rng.choice(list("abcdefgh "), 200)) for _ in range(3)]
+    lines = [b[:k] + "#" + b[k + 1:] for b in base for k in range(20, 180, 4)]
+    lines += [base[0][:150] + "".join(rng.choice(list("xyz"), 150)) for _ in range(40)]
+    rows = spark.createDataFrame(list(enumerate(lines)), "line long, body string")
+    found = dict(rows_of(components(linked_lines(rows, 0.8, block))))
+    for g in range(3):
+        assert len({found.get(i, i) for i in range(40 * g, 40 * g + 40)}) == 1
+    assert len({found.get(i, i) for i in range(len(lines))}) == 43
+
+
+def test_line_shingles():
+    assert len(line_shingles(b"short")) == 0
+    a, b = line_shingles(b"abcdefghij"), line_shingles(b"abcdefghijk")
+    assert len(a) == 3 and not alike(a, b, 0.8) and alike(a, b, 0.75)
+
+
 def test_line_dedup_keeps_columns_and_clean_documents(docs):
     cut = drop_repeated_lines(docs)
     assert cut.columns == docs.columns
