@@ -1,6 +1,6 @@
 """Fuzzy line deduplication by MinHash.
 
-Lines are the parts of a text between newlines, compared after A-Z are
+Lines are the parts of a text between newlines, compared after they are
 lower-cased and outer spaces dropped; those of fewer than ``least`` characters are never
 removed. Two lines are alike if the Jaccard similarity of their sets of
 ``SHINGLE``-byte strings is ``similarity`` or more. Signatures of ``BANDS`` x
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import LOWER, UPPER, bit_filter, by_key, flat, maybe_in, row_slices, staged
+from marlstone.llm.common import bit_filter, by_key, flat, maybe_in, row_slices, staged
 from marlstone.llm.components import components
 
 SHINGLE, BANDS, ROWS = 8, 12, 5
@@ -131,7 +131,7 @@ def _connect(similarity: float):
 def lines_of(docs: DataFrame, least: int) -> DataFrame:
     """doc, text_key, place, line, line2, body: the lines that are compared.
     line and line2 are a 128-bit hash of the body."""
-    body = F.trim(F.translate("part", UPPER, LOWER))
+    body = F.lower(F.trim("part"))
     return (docs.select(*KEY, F.posexplode(F.split("text", "\n", -1)).alias("place", "part"))
             .select(*KEY, "place", body.alias("body"))
             .where(F.length("body") >= least)
@@ -190,9 +190,9 @@ def linked_lines(lines: DataFrame, similarity: float, block: int = 256) -> DataF
 
 def removed_lines(docs: DataFrame, least: int, similarity: float) -> DataFrame:
     """doc, text_key, places: the places of the lines that go."""
-    lines = lines_of(docs, least)
+    lines = staged(lines_of(docs, least), "lines")
     linked = components(linked_lines(lines, similarity))
-    placed = staged(lines.drop("body").distinct(), "lines")
+    placed = staged(lines.drop("body").distinct(), "placed")
     # classes by hash: a linked class has the component, any other its own 128-bit hash
     counts = placed.groupBy("line", "line2").agg(F.count(F.lit(1)).alias("n"))
     named = (counts.join(linked.withColumnRenamed("node", "line"), "line", "left")

@@ -12,7 +12,7 @@ from marlstone.llm.exact_dedup import exact_dedup, powers
 from marlstone.llm.jaccard_join import jaccard_dedup, jaccard_join, survival
 from marlstone.llm.line_dedup import alike, drop_repeated_lines, line_dedup, linked_lines, shingles as line_shingles
 from marlstone.llm.suffix_dedup import suffix_dedup
-from tests.llm.fixtures import SCHEMA, UPPER, corpus, words
+from tests.llm.fixtures import SCHEMA, corpus, words
 
 ROWS = corpus()
 
@@ -135,7 +135,7 @@ def line_truth(least=24, similarity=0.8):
     found = {}
     for rank, i, t in docs:
         for k, line in enumerate(t.split("\n")):
-            body = line.translate(UPPER).strip(" ")
+            body = line.lower().strip(" ")
             if len(body) >= least:
                 found.setdefault(body, []).append((rank, t, k))
     bodies = list(found)
