@@ -295,10 +295,12 @@ def buckets_of(records: DataFrame, runs: int, depth: int, limit: int) -> DataFra
     return all_.join(once, "path")
 
 
-def jaccard_join(docs: DataFrame, similarity: float = 0.8, recall: float = 0.99, depth: int = 8,
-                 limit: int = 128, block: int = 256) -> DataFrame:
+def jaccard_join(docs: DataFrame, similarity: float = 0.8, recall: float = 0.99, depth: int = 3,
+                 limit: int = 128, block: int = 1024) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, n_shingles, class_id,
-    n_links (rows of a similarity of ``similarity`` or more)."""
+    n_links (rows of a similarity of ``similarity`` or more). A greater ``depth``
+    splits buckets of unlike records further and needs more runs for the same
+    recall; alike records share every run's buckets either way."""
     runs = math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, depth)))
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     keyed = keyed.withColumn("text_key", F.xxhash64("text"))
