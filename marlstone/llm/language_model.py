@@ -60,6 +60,15 @@ def grams(data: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.
     return code[real], np.concatenate([[0], np.cumsum(lens + 1)])
 
 
+def codes(text: np.ndarray, depth: int, piece: int = 1 << 20) -> Iterator[np.ndarray]:
+    """``grams`` of one text, piece by piece."""
+    for start in range(0, len(text) + 1, piece):
+        lead = min(start, depth)
+        part = text[start - lead:start + piece]
+        code, _ = grams(part, np.array([0, len(part)]), depth)
+        yield code[lead:] if start + piece > len(text) else code[lead:-1]
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of a sequence."""
     return (log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0)
@@ -156,6 +165,14 @@ def log10_of(gram: np.ndarray, nodes: list[Nodes], depth: int) -> np.ndarray:
     return np.log10(answer).reshape(-1, 8).sum(axis=1)
 
 
+def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their n."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(n, first)
+
+
 def _counter(depth: int):
     """Distinct words and grams of each block, with their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +184,7 @@ def _counter(depth: int):
                 rows = np.flatnonzero(block == b)
                 words: Counter = Counter()
                 asked: set[bytes] = set()
-                found, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                found, counts = [], []
                 lens = np.diff(at)[rows]
                 for lo, hi in row_slices(np.concatenate([[0], np.cumsum(lens)]), 1 << 20):
                     for taught in (True, False):
@@ -178,11 +195,12 @@ def _counter(depth: int):
                         for t in texts:
                             (words if taught else asked).update(t.tobytes().lower().split())
                         ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-                        g, c = np.unique(grams(np.concatenate(texts), ends, depth)[0],
-                                         return_counts=True)
-                        both, to = np.unique(np.concatenate([found, g]), return_inverse=True)
-                        counts = np.bincount(to, np.concatenate([counts, c * taught]), len(both))
-                        found, counts = both, counts.astype(np.int64)
+                        for code in (codes(texts[0], depth) if len(texts) == 1 else
+                                     [grams(np.concatenate(texts), ends, depth)[0]]):
+                            g, c = np.unique(code, return_counts=True)
+                            found.append(g)
+                            counts.append(c * taught)
+                found, counts = _added(np.concatenate(found), np.concatenate(counts))
                 keys = [*words, *(asked - words.keys())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(keys) + len(found), b)),
@@ -196,7 +214,7 @@ def _counter(depth: int):
 def _depth_two(depth: int):
     """Nodes of depth 2 of the contexts with the same last two bytes."""
     def run(group: pa.Table) -> pa.Table:
-        gram, n = group["gram"].to_numpy(), group["n"].to_numpy()
+        gram, n = _added(group["gram"].to_numpy(), group["n"].to_numpy())
         on = n > 0
         top = levels(gram[on], n[on], depth, 2)[-1] if on.any() else None
         columns = [top.keys, top.zeros, top.ones, top.log_pw] if top else [[]] * 4
@@ -210,14 +228,14 @@ def _evaluate(depth: int, one: dict[int, tuple], root: Nodes):
     """log10 probability of the grams with the same last two context bytes.
     one: columns of the depth-1 nodes by last byte."""
     def run(group: pa.Table) -> pa.Table:
-        gram, n = group["gram"].to_numpy(), group["n"].to_numpy()
+        gram, n = _added(group["gram"].to_numpy(), group["n"].to_numpy())
         on = n > 0
         nodes = levels(gram[on], n[on], depth, 2)
         last = int(gram[0] >> (8 * depth))
         near = Nodes(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.zeros(0))
         if last in one:
             near.keys, near.zeros, near.ones, near.log_pw, near.weight = one[last]
-        return pa.table([group["gram"], pa.array(log10_of(gram, [*nodes, near, root], depth))],
+        return pa.table([pa.array(gram), pa.array(log10_of(gram, [*nodes, near, root], depth))],
                         names=["gram", "logp"])
     return run
 
@@ -264,19 +282,24 @@ def _score_block(depth: int, total: int, distinct: int, n_texts: int):
                 n_tokens.append(len(tokens) + 1)
                 n_known.append(int((found > never + 0.1).sum()) + (n_texts > 0))
                 base.append(float(found.sum()) + end)
+            if hi - lo == 1:
+                score.append(sum(float(logp[np.searchsorted(gram, np.sort(code))].sum())
+                                 for code in codes(data[at[lo]:at[hi]], depth)))
+                continue
             code, ends = grams(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo], depth)
-            score.append(np.add.reduceat(logp[np.searchsorted(gram, code)], ends[:-1]))
+            for a, b in zip(ends, ends[1:]):
+                # in order, neighbours are found near each other
+                score.append(float(logp[np.searchsorted(gram, np.sort(code[a:b]))].sum()))
         return pa.table([
             texts["doc_id"], texts["held_out"], pa.array(n_tokens, pa.int64()),
             pa.array(n_known, pa.int64()), pa.array(base if total else [None] * len(base), pa.float64()),
-            pa.array(np.concatenate(score) if score else [], pa.float64()),
-            pa.array(np.diff(at) + 1)],
+            pa.array(score, pa.float64()), pa.array(np.diff(at) + 1)],
             names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_symbols"])
     return run
 
 
-def language_model(docs: DataFrame, depth: int = 5, held_out: int = 10,
-                   block_rows: int = 8000) -> DataFrame:
+def language_model(docs: DataFrame, depth: int = 4, held_out: int = 10,
+                   block_rows: int = 4000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     bits_per_byte: one row per row of ``docs``. Learns from the rows whose
     crc32 of doc_id modulo ``held_out`` is not 0. A block has about

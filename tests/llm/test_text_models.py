@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.decontamination import decontaminate, drop_contaminated
 from marlstone.llm.language_id import identify
-from marlstone.llm.language_model import grams, language_model, leaves, levels, log10_of
+from marlstone.llm.language_model import codes, grams, language_model, leaves, levels, log10_of
 from marlstone.llm.packing import Encoder, best_fit_decreasing, lower_bound, pack, pack_documents
 from marlstone.llm.pii import ANY, pseudonymise
 from marlstone.llm.toxicity import WORD, drop_toxic, forward_backward, toxicity
@@ -134,6 +134,13 @@ def test_context_tree_is_a_distribution():
     assert len(leaves(gram, n).keys)
 
 
+@pytest.mark.parametrize("n", [0, 1, 6, 7, 8, 13, 14, 50])
+def test_codes_of_a_long_text_come_in_pieces(n):
+    text = np.random.default_rng(n).integers(0, 255, n).astype(np.uint8)
+    whole, _ = grams(text, np.array([0, n]), 3)
+    assert np.array_equal(np.concatenate(list(codes(text, 3, piece=7))), whole)
+
+
 @pytest.mark.parametrize("depth", [2, 3])
 def test_language_model(spark, depth):
     few = [r for r in ROWS if len(r[1] or "") < 500]
