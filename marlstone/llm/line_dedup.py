@@ -6,9 +6,10 @@ removed. Two lines are alike if the Jaccard similarity of their sets of
 ``SHINGLE``-byte strings is ``similarity`` or more. Signatures of ``BANDS`` x
 ``ROWS`` smallest hashes are cut into bands; lines that agree in a band are
 compared by their exact sets until those alike are connected. A large band
-is compared in blocks, one line of each connected group going on to the next
-round, so no task gets all lines of a hot band. A pair of
-similarity 0.8 misses all bands with a probability under 1 %, one of 0.9 under
+is compared in blocks, so no task gets all lines of a hot band: first within
+blocks, then one line of each connected group with those of other blocks, and
+last, pair of blocks by pair of blocks, all lines that are not connected yet. A
+pair of similarity 0.8 misses all bands with a probability under 1 %, one of 0.9 under
 1 in 10,000. Connected lines form a class; the first line of a class, by doc_id
 and then by place, stays.
 
@@ -99,32 +100,59 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (len(a) + len(b) - both)
 
 
+#: Groups of so many lines are compared in one product, while they have no
+#: more than so many different shingles.
+PRODUCT_LINES, PRODUCT_SHINGLES = 24, 1 << 17
+
+
+def alike_pairs(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
+    """i, j (j < i) of all sets that are alike, by a product of 0/1 matrices."""
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    known, column = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    column, of = column[order], of[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, len(known), 4096):
+        some = slice(*np.searchsorted(column, [lo, lo + 4096]))
+        held = np.zeros((len(sets), min(4096, len(known) - lo)), np.float32)
+        held[of[some], column[some] - lo] = 1
+        both += held @ held.T
+    n = np.array([len(x) for x in sets])
+    either = n[:, None] + n[None, :] - both
+    i, j = np.nonzero(np.tril((both >= similarity * either) & (both > 0), -1))
+    return zip(i.tolist(), j.tolist())
+
+
 def _connect(similarity: float):
-    """band, line, root: the connected lines of each key, lines that are
-    connected already not being compared again. Keys with two parts compare
-    only lines of different parts."""
+    """band, line, root: the connected classes of each key, each by one of
+    them; rows of one class (that of a line alone is the line) are connected
+    already and not compared again. Keys with two parts compare only lines of
+    different parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_key(batches):
-            lines, part = group["line"].to_numpy(), group["part"].to_numpy()
+            classes, part = group["class"].to_numpy(), group["part"].to_numpy()
             across = group["low"][0].as_py() != group["high"][0].as_py()
             sets = [shingles(b.encode()) for b in group["body"].to_pylist()]
-            root = list(range(len(lines)))
+            first: dict[int, int] = {}
+            root = [first.setdefault(c, i) for i, c in enumerate(classes.tolist())]
 
             def top(x: int) -> int:
                 while root[x] != x:
                     root[x] = root[root[x]]
                     x = root[x]
                 return x
-            for i in range(len(lines)):
-                for j in range(i):
-                    if across and part[i] == part[j]:
-                        continue
-                    x, y = top(i), top(j)
-                    if x != y and alike(sets[i], sets[j], similarity):
-                        root[x] = y
+            product = len(sets) >= PRODUCT_LINES and sum(map(len, sets)) and \
+                len(np.unique(np.concatenate(sets))) <= PRODUCT_SHINGLES
+            pairs = alike_pairs(sets, similarity) if product else ((i, j) for i in range(len(sets)) for j in range(i))
+            for i, j in pairs:
+                if across and part[i] == part[j]:
+                    continue
+                x, y = top(i), top(j)
+                if x != y and (product or alike(sets[i], sets[j], similarity)):
+                    root[x] = y
             yield pa.RecordBatch.from_arrays(
-                [group["band"].combine_chunks(), pa.array(lines),
-                 pa.array(lines[[top(i) for i in range(len(lines))]])], ["band", "line", "root"])
+                [group["band"].combine_chunks(), pa.array(classes),
+                 pa.array(classes[[top(i) for i in range(len(classes))]])], ["band", "line", "root"])
     return run
 
 
@@ -148,11 +176,48 @@ def _one_of_each(buckets: DataFrame) -> DataFrame:
     return buckets.join(once, "band")
 
 
+def _compared(dealt: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
+    """band, line, root of the rows dealt by key."""
+    joined = (dealt.join(bodies, "line").select("key", "band", "class", "part", "low", "high", "body")
+              .repartition("key").sortWithinPartitions("key"))
+    return staged(joined.mapInArrow(_connect(similarity), "band long, line long, root long"), "connected")
+
+
+def _edges(found: list[DataFrame]) -> DataFrame:
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _rest_dealt(hot: DataFrame, linked: DataFrame, block: int) -> DataFrame:
+    """Rows of large bands (band, line) by key, a key for each pair of blocks
+    with lines that may not be connected yet. The lines of a band's largest
+    class have blocks of their own, which are not compared with each other."""
+    classed = (hot.join(linked.withColumnsRenamed({"node": "line", "component": "class"}), "line", "left")
+               .withColumn("class", F.coalesce("class", "line")))
+    counts = classed.groupBy("band", "class").agg(F.count(F.lit(1)).alias("n"))
+    sizes = (counts.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main"))
+             .where(F.col("n") > F.col("main.n"))
+             .select("band", F.col("main.class").alias("main"),
+                     F.expr(f"cast((n - main.n + {block - 1}) div {block} as int)").alias("parts"),
+                     F.expr(f"cast((main.n + {block - 1}) div {block} as int)").alias("more")))
+    of = F.xxhash64("line")
+    main = F.col("class") == F.col("main")
+    part = F.when(main, F.col("parts") + F.pmod(of, F.col("more"))).otherwise(F.pmod(of, F.col("parts")))
+    last = F.when(main, F.col("parts")).otherwise(F.col("parts") + F.col("more")) - 1
+    return (classed.join(sizes, "band").withColumn("part", part.cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+            .withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
+            .withColumn("key", F.xxhash64("band", "low", "high")))
+
+
 def linked_lines(lines: DataFrame, similarity: float, block: int = 256) -> DataFrame:
     """a, b: pairs of line hashes that connect the alike lines of each band.
     Lines of a band of more than ``block`` meet in random blocks, then one of
-    each connected group goes on; when that makes a band no smaller, its blocks
-    are compared pair by pair."""
+    each connected group goes on as long as that makes a band much smaller; at
+    the end all its lines that are not connected are compared, blocks pair by
+    pair."""
     banded = lines.select("line", "body").mapInArrow(_band_keys, "band long, line long").repartition("band")
     shared = (banded.groupBy("band").agg(F.min("line").alias("least"), F.max("line").alias("most"))
               .where(F.col("least") != F.col("most")).select("band"))
@@ -162,30 +227,30 @@ def linked_lines(lines: DataFrame, similarity: float, block: int = 256) -> DataF
     bodies = staged(
         maybe_in(lines.select("line", "body"), ["line"], bit_filter(wanted, ["line"]))
         .dropDuplicates(["line"]).join(wanted, "line"), "bodies")
-    found, turn, stuck = [], 0, False
+    found, turn, rows = [], 0, open_
     while True:
-        sized = open_.join(open_.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band")
+        sized = rows.join(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band")
         parts = F.expr(f"cast((n + {block - 1}) div {block} as int)")
-        dealt = sized.withColumn("parts", parts).withColumn(
-            "part", F.pmod(F.xxhash64("line", F.lit(turn)), F.col("parts")).cast("int"))
-        others = F.sequence(F.lit(0), F.col("parts") - 1) if stuck else F.array("part")
-        dealt = (dealt.withColumn("other", F.explode(others))
-                 .withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
-                 .withColumn("key", F.xxhash64("band", "low", "high")))
-        joined = (dealt.join(bodies, "line").select("key", "band", "line", "part", "low", "high", "parts", "body")
-                  .repartition("key").sortWithinPartitions("key"))
-        done = staged(joined.mapInArrow(_connect(similarity), "band long, line long, root long"), "connected")
+        dealt = (sized.withColumn("class", F.col("line"))
+                 .withColumn("part", F.pmod(F.xxhash64("line", F.lit(turn)), parts).cast("int"))
+                 .withColumn("low", F.col("part")).withColumn("high", F.col("part"))
+                 .withColumn("key", F.xxhash64("band", "part")))
+        done = _compared(dealt, bodies, similarity)
         found.append(done.where("line <> root").select(F.col("line").alias("a"), F.col("root").alias("b")))
-        large = sized.where(F.col("n") > block).select("band").distinct()
-        heads = staged(done.where("line = root").join(large, "band").select("band", "line").distinct(), "heads")
-        before, after = sized.where(F.col("n") > block).count(), heads.count()
-        if stuck or not after:
+        large = sized.where(F.col("n") > block)
+        if not turn:
+            hot = staged(large.select("band", "line"), "hot")
+        heads = staged(done.where("line = root").join(large.select("band").distinct(), "band")
+                       .select("band", "line").distinct(), "heads")
+        before, after = large.count(), heads.count()
+        if after > 0.5 * before or not after:
             break
-        stuck, open_, turn = after > 0.5 * before, heads, turn + 1
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+        rows, turn = heads, turn + 1
+    if not hot.isEmpty():
+        rest = _rest_dealt(hot, components(_edges(found)), block)
+        found.append(_compared(rest, bodies, similarity).where("line <> root")
+                     .select(F.col("line").alias("a"), F.col("root").alias("b")).distinct())
+    return _edges(found)
 
 
 def removed_lines(docs: DataFrame, least: int, similarity: float) -> DataFrame:

@@ -10,7 +10,8 @@ from marlstone.llm.common import bit_filter, maybe_in, without
 from marlstone.llm.components import components
 from marlstone.llm.exact_dedup import exact_dedup, powers
 from marlstone.llm.jaccard_join import jaccard_dedup, jaccard_join, survival
-from marlstone.llm.line_dedup import alike, drop_repeated_lines, line_dedup, linked_lines, shingles as line_shingles
+from marlstone.llm.line_dedup import alike, alike_pairs, drop_repeated_lines, line_dedup, linked_lines
+from marlstone.llm.line_dedup import shingles as line_shingles
 from marlstone.llm.suffix_dedup import suffix_dedup
 from tests.llm.fixtures import SCHEMA, corpus, words
 
@@ -196,6 +197,29 @@ def test_lines_of_a_large_band(spark, block):
     assert len({found.get(i, i) for i in range(len(lines))}) == 43
 
 
+def test_blocks_of_a_large_band_lose_no_link(spark):
+    # variants of one line, many pairs near the limit: classes hang together through lines that are no heads
+    rng = np.random.default_rng(4)
+    lines = []
+    for g in range(5):
+        base = rng.choice(list("abcdefgh "), 200)
+        for _ in range(100):
+            line = base.copy()
+            line[rng.choice(200, 1 + g // 2 if g % 2 else 2, replace=False)] = rng.choice(list("xyz#"))
+            lines.append("".join(line))
+    rows = spark.createDataFrame(list(enumerate(lines)), "line long, body string").cache()
+    whole, dealt = (dict(rows_of(components(linked_lines(rows, 0.8, b)))) for b in (len(lines), 8))
+    assert whole and dealt == whole
+
+
+def test_pairs_of_a_group_by_product():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 40, n).astype(np.uint64)) for n in rng.integers(0, 60, 50)]
+    sets += [np.arange(9000, dtype=np.uint64), np.arange(8000, dtype=np.uint64)]
+    truth = {(i, j) for i in range(len(sets)) for j in range(i) if alike(sets[i], sets[j], 0.7)}
+    assert truth and set(alike_pairs(sets, 0.7)) == truth
+
+
 def test_line_shingles():
     assert len(line_shingles(b"short")) == 0
     a, b = line_shingles(b"abcdefghij"), line_shingles(b"abcdefghijk")
