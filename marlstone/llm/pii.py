@@ -9,8 +9,9 @@ values get equal ones in all documents, and the key's owner can undo it
 
 - payment cards (13 to 19 digits, Luhn): all but the first digit and the check
   digit, which is computed anew;
-- North American telephone numbers: the digits that may be any, eight of ten;
-  other numbers with + and country code: the digits after the first two;
+- North American telephone numbers (after +1 with any area code): eight of ten
+  digits; other numbers with + and country code, 8 to 15 digits in any groups:
+  the digits after the first two;
 - IPv4 addresses (octets up to 255): the last three octets;
 - social security numbers (valid areas, groups and serials): group and serial;
 - IBANs (modulo 97): the last run of digits, check digits computed anew;
@@ -42,8 +43,9 @@ EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[
 SECRET = (r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
           r"[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"']{6,256}")
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-NANP = r"(?<![0-9+])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
-ABROAD = r"\+[2-9][0-9]{0,2}(?:[ .()-]{1,2}[0-9]{2,4}){2,5}(?![0-9])"
+NANP = (r"(?<![0-9+])(?:\+1[ .-]?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}"
+        r"|(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4})(?![0-9])")
+ABROAD = r"\+[2-9](?:[ .()-]{0,2}[0-9]){7,14}(?![0-9])"
 CARD = (r"(?<![0-9.])(?:[0-9]{13,19}|[0-9]{4}(?:[ ][0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}"
         r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])")
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
