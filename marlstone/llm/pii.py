@@ -14,7 +14,8 @@ values get equal ones in all documents, and the key's owner can undo it
   the digits after the first two;
 - IPv4 addresses (octets up to 255): the last three octets;
 - social security numbers (valid areas, groups and serials): group and serial;
-- IBANs (modulo 97): the last run of digits, check digits computed anew;
+- IBANs (modulo 97): the last run of digits, or all digits of one that does not
+  end in two, check digits computed anew;
 - dates (calendar dates as 2024-02-29, 29.02.2024, 02/29/2024): the day within
   its stretch of 72,900 days, about 1900 to 2099 for the present one.
 
@@ -42,7 +43,19 @@ DAY_SIDE = 270
 EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}")
 SECRET = (r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
           r"[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"']{6,256}")
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Characters of an IBAN by country.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO EG GT HU LB NI PL SV",
+    29: "BR PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_IBAN_OF = "|".join(
+    "(?:" + countries.replace(" ", "|") + ")[0-9]{2}(?: ?[A-Z0-9]{4}){" + str((size - 4) // 4) + "}"
+    + (" ?[A-Z0-9]{" + str(size % 4) + "}" if size % 4 else "") + "(?![A-Za-z0-9])"
+    for size, countries in IBAN_SIZES.items())
+#: The country's length first; then any, for other countries.
+IBAN = (r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + _IBAN_OF
+        + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))")
 NANP = (r"(?<![0-9+])(?:\+1[ .-]?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}"
         r"|(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4})(?![0-9])")
 ABROAD = r"\+[2-9](?:[ .()-]{0,2}[0-9]){7,14}(?![0-9])"
@@ -124,6 +137,10 @@ def _keep(m: Column, fields: list[str], **more: Column) -> Column:
     return F.struct(*[m[f].alias(f) for f in fields], *[c.alias(n) for n, c in more.items()])
 
 
+def _ends_in_digits(m: Column) -> Column:
+    return _at(m["plain"], 5, 64).rlike("[0-9]{2}$")
+
+
 def _free(m: Column) -> Column:
     """The digits that vary, of kinds with a string of them."""
     d = m["digits"]
@@ -131,7 +148,8 @@ def _free(m: Column) -> Column:
     return (F.when(m["kind"] == "card", _at(d, 2, n - 2))
             .when(m["kind"] == "phone", F.concat(_at(d, n - 8, 2), _at(d, n - 5, 6)))
             .when(m["kind"] == "abroad", _at(d, 3, n))
-            .when(m["kind"] == "iban", F.regexp_extract(_at(m["plain"], 5, 64), "([0-9]{2,})$", 1)))
+            .when((m["kind"] == "iban") & _ends_in_digits(m), F.regexp_extract(_at(m["plain"], 5, 64), "([0-9]{2,})$", 1))
+            .when(m["kind"] == "iban", F.regexp_replace(_at(m["plain"], 5, 64), "[^0-9]", "")))
 
 
 def _valid(m: Column) -> Column:
@@ -139,7 +157,7 @@ def _valid(m: Column) -> Column:
     return (F.when(kind == "card", _luhn_sum(m["digits"], 1) % 10 == 0)
             .when(kind == "phone", F.lit(True))
             .when(kind == "abroad", F.length(m["digits"]).between(8, 15))
-            .when(kind == "iban", (_mod97(m["plain"]) == 1) & old.rlike("[0-9] ?[0-9]$"))
+            .when(kind == "iban", (_mod97(m["plain"]) == 1) & _at(m["plain"], 5, 64).rlike("[0-9]"))
             .when(kind == "ipv4", F.forall(F.split(old, r"\."), lambda x: x.cast("int") <= 255))
             .when(kind == "ssn", ~parts[0].isin("000", "666") & (parts[0] < "900") & (parts[1] != "00")
                   & (parts[2] != "0000"))
@@ -189,6 +207,8 @@ def _body(m: Column) -> Column:
     return (F.when(m["kind"] == "card", F.concat(_at(d, 1, 1), p))
             .when(m["kind"] == "phone", F.concat(_at(d, 1, n - 9), _at(p, 1, 2), _at(d, n - 6, 1), _at(p, 3, 6)))
             .when(m["kind"] == "abroad", F.concat(_at(d, 1, 2), p))
+            .when((m["kind"] == "iban") & ~_ends_in_digits(m), F.concat(
+                _at(m["plain"], 1, 2), F.lit("00"), _filled(_at(m["plain"], 5, 64), p, "^[^0-9]?$")))
             .when(m["kind"] == "iban", F.concat(
                 _at(m["plain"], 1, 2), F.lit("00"), _at(m["plain"], 5, F.length(m["plain"]) - F.length(p) - 4), p)))
 

@@ -293,6 +293,11 @@ def test_telephone_numbers_in_usual_groups(spark):
                           "+33 1 42 68 53 00", "+44 (0)20 7946 0958", "(415) 555-2671"])
 
 
+def test_ibans_before_words_and_with_letters_at_the_end(spark):
+    changed_whole(spark, ["BE68 5390 0754 7034 BIC", "ES91 2100 0418 4502 0005 1332 BIC", "ES9121000418450200051332 EUR",
+                          "MT84MALT011000012345MTLCAST001S", "GB82 WEST 1234 5698 7654 32 AB"])
+
+
 def test_language_id(spark):
     rng = random.Random(6)
     kinds = {"aa": ["th", "er", "ing"], "bb": ["sch", "ei", "ung"], "cc": ["eau", "oi", "ment"]}
