@@ -298,6 +298,15 @@ def test_ibans_before_words_and_with_letters_at_the_end(spark):
                           "MT84MALT011000012345MTLCAST001S", "GB82 WEST 1234 5698 7654 32 AB"])
 
 
+def test_long_secrets_go_to_their_end(spark):
+    value = "".join(random.Random(8).choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789._-", k=20_000))
+    docs = spark.createDataFrame([(k, f"token={value[:n]} end") for k, n in enumerate([300, 20_000])],
+                                 "doc_id long, text string")
+    for r in pseudonymise(docs, "k").collect():
+        n = [300, 20_000][r["doc_id"]]
+        assert re.fullmatch("token=[0-9a-f]{%d} end" % n, r["text"]) and r["n_values"] == 1
+
+
 def test_language_id(spark):
     rng = random.Random(6)
     kinds = {"aa": ["th", "er", "ing"], "bb": ["sch", "ei", "ung"], "cc": ["eau", "oi", "ment"]}
