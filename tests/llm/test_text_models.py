@@ -169,6 +169,14 @@ def test_language_model(spark, depth):
         assert not values or None in by[key] or any(abs(r["score"] - x) < 1e-4 for x in values)
 
 
+def test_language_model_has_contexts_of_five_bytes(spark):
+    rows = [(i, t) for i, t, *_ in ROWS if i is not None and t and len(t) < 200][:12]
+    train = [t.encode() for i, t in rows if crc(i, 10)]
+    got = {(r["doc_id"], round(r["score"], 4)) for r in language_model(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got and got == {(i, round(ctw_brute(train, t.encode(), 5), 4)) for i, t in rows}
+
+
 def test_language_model_without_training_rows(spark):
     ids = [i for i in range(200) if crc(i, 10) == 0][:3]
     got = language_model(spark.createDataFrame([(i, "ab c") for i in ids], "doc_id long, text string")).collect()
