@@ -1,4 +1,4 @@
-"""The registered queries of this package and their SQL (DuckDB)."""
+"""The registered queries of this package; their SQL is in ``oracle``."""
 
 from __future__ import annotations
 
@@ -7,15 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import table
+from marlstone.llm.common import staged, table
 from marlstone.llm.decontamination import decontaminate
 from marlstone.llm.exact_dedup import exact_dedup
 from marlstone.llm.jaccard_join import jaccard_join
 from marlstone.llm.language_id import identify
 from marlstone.llm.language_model import language_model
 from marlstone.llm.line_dedup import line_dedup
+from marlstone.llm.oracle import ORACLE_SQL  # noqa: F401  (part of the registry)
 from marlstone.llm.packing import pack_documents
+from marlstone.llm.periodic_runs import periodic_runs, run_digest
 from marlstone.llm.pii import pseudonymise
+from marlstone.llm.prefix_trie import numbered_turns, prefix_trie, rebuilt_turns
+from marlstone.llm.sharding import shard_documents
 from marlstone.llm.suffix_dedup import suffix_dedup
 from marlstone.llm.toxicity import toxicity
 
@@ -75,6 +79,35 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = staged(numbered_turns(table(spark, sf_dir, "conversations")), "numbered")
+    return prefix_trie(rebuilt_turns(own), own.select("conv").distinct())
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` in which the words of a tenth of the texts repeat from word a on with
+    period p, as the contract of op12 has it (a, p from crc32 of doc_id)."""
+    code = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0).cast("long"))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    worded = docs.select("doc_id", "text", code.alias("h"), F.when(code % 10 == 0, split).alias("w"))
+    g = F.expr("h div 10")
+    sized = worded.withColumn("n", F.coalesce(F.size("w"), F.lit(0))).where("h % 10 = 0 AND n > 0")
+    sized = sized.withColumn("a", (g % F.col("n")).cast("int"))
+    sized = sized.withColumn("p", F.expr("cast(1 + (n - a) div (3 + (h div 10) % 8) as int)"))
+    tail = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.expr("cast((n - a + p - 1) div p as int)")))
+    planted = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), F.col("n") - F.col("a")))
+    others = docs.where((code % 10 != 0) | F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return others.select("doc_id", "text").unionByName(sized.select("doc_id", F.array_join(planted, " ").alias("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(periodic_runs(with_repeats(table(spark, sf_dir, "documents"))))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
@@ -86,40 +119,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
-}
-
-#: Lower-cased words of a text column, as SQL.
-_WORDS = (r"regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
-          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
-
-ORACLE_SQL: dict[str, str] = {
-    "op2_decontamination": f"""
-        WITH doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-        item AS (SELECT item_id, w, LEAST(13, LEN(w)) AS t
-                 FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE LEN(w) > 0),
-        item_at AS (SELECT item_id, t, w, UNNEST(RANGE(1, LEN(w) - t + 2)) AS i FROM item),
-        item_win AS (SELECT DISTINCT item_id, t, ARRAY_TO_STRING(w[i:i + t - 1], ' ') AS g FROM item_at),
-        doc_at AS (SELECT doc_id, t, w, UNNEST(RANGE(1, LEN(w) - t + 2)) AS i
-                   FROM doc, (SELECT DISTINCT t FROM item)),
-        doc_win AS (SELECT doc_id, t, i, ARRAY_TO_STRING(w[i:i + t - 1], ' ') AS g FROM doc_at),
-        hit AS (SELECT doc_id, item_id, t, i FROM doc_win JOIN item_win USING (t, g)),
-        place AS (SELECT DISTINCT doc_id, UNNEST(RANGE(i, i + t)) AS p FROM hit),
-        n AS (SELECT doc_id, COUNT(*) AS n_hit FROM place GROUP BY doc_id),
-        its AS (SELECT doc_id, COUNT(*) AS n_items, STRING_AGG(item_id, ',' ORDER BY item_id) AS ids
-                FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
-        SELECT doc.doc_id, CAST(LEN(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit,
-               COALESCE(n_items, 0) AS n_items, sha256(COALESCE(ids, '')) AS items_sha256,
-               COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= LEN(w) AS contaminated
-        FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN its USING (doc_id)
-    """,
-    "op9_exact_dedup": """
-        WITH hashed AS (
-            SELECT doc_id, COALESCE(text, '') AS body FROM documents)
-        SELECT doc_id,
-               MAX(doc_id) OVER same AS keep_id,
-               COUNT(*) OVER same AS group_size,
-               doc_id = MAX(doc_id) OVER same AS kept,
-               sha256(body) AS text_sha256
-        FROM hashed WINDOW same AS (PARTITION BY body)
-    """,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_sharding": op13_sharding,
 }
