@@ -1,9 +1,14 @@
 """Zone-to-zone stages and the pipeline runner.
 
-Every stage reads the previous zone's files and replaces its own zone's
-tables, one Spark job per table. Stages hand over by files only, so each is
-restartable on its own, and no stage ever reads and overwrites the same
-directory.
+Every stage reads the previous zone's files and writes new versions of its own
+zone's tables, one Spark job per table. It reads the versions that were current when it
+began, all through one snapshot, and its own become current together, by one
+record, when the last of them is finished: a reader of Gold has the fact, dimensions
+and marts of one run, never of two.
+
+Each finished table is recorded, so a run that was interrupted is taken up again
+(``resume``) with the inputs it had: committed stages and finished tables are not
+computed again.
 
 Within the Silver and Gold stages the table writes that do not depend on
 each other are submitted as concurrent Spark jobs (one driver thread each),
@@ -22,23 +27,38 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import InheritableThread
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.operators import (
     CLEANERS, dim_products, dim_website_sessions, fact_order_items,
     mart_product_performance, mart_session_conversion)
 from marlstone.schemas import BRONZE_TO_SILVER, SOURCE_TABLES
+from marlstone.sources.manifest import (
+    Entry, Stage, begin, committed_stages, latest_run, new_version)
 from marlstone.sources.publish import PublishResult, ServingTarget, publish_gold
 from marlstone.sources.relational import TableSource
-from marlstone.sources.zones import WriteResult, read_table, write_table
+from marlstone.sources.zones import WriteResult, read_table, read_version, write_version
 
 STAGES = ("extract", "silver", "gold", "publish")
 
 
+def _write(stage: Stage, zone: str, table: str, rows: Callable[[], DataFrame]) -> WriteResult:
+    """Write a table of a stage, unless an earlier attempt has finished it."""
+    had = stage.finished.get((zone, table))
+    if had is not None:
+        return WriteResult(had.table, had.path, had.row_count)
+    result = write_version(rows(), stage.root, zone, table)
+    stage.done(result.entry(zone))
+    return result
+
+
 def extract_to_bronze(spark: SparkSession, source: TableSource, root: str,
-                      tables: Sequence[str] = SOURCE_TABLES) -> list[WriteResult]:
+                      tables: Sequence[str] = SOURCE_TABLES, run: str | None = None) -> list[WriteResult]:
     """Copy each source table, as is, to ``<root>/bronze/<table>``."""
-    return [write_table(source.read(spark, t), root, "bronze", t) for t in tables]
+    stage = begin(spark, root, "extract", run)
+    results = [_write(stage, "bronze", t, lambda t=t: source.read(spark, t)) for t in tables]
+    stage.commit(r.entry("bronze") for r in results)
+    return results
 
 
 def write_concurrently(spark: SparkSession,
@@ -84,82 +104,109 @@ def write_concurrently(spark: SparkSession,
 
 def bronze_to_silver(spark: SparkSession, root: str,
                      tables: Sequence[str] = SOURCE_TABLES,
-                     max_jobs: int = 4) -> list[WriteResult]:
+                     max_jobs: int = 4, run: str | None = None) -> list[WriteResult]:
     """Clean each Bronze table into its Silver table (map-only jobs,
     up to ``max_jobs`` at a time)."""
+    stage = begin(spark, root, "silver", run)
+
     def clean(bronze: str) -> Callable[[], WriteResult]:
-        def write() -> WriteResult:
-            cleaned = CLEANERS[bronze](read_table(spark, root, "bronze", bronze))
-            return write_table(cleaned, root, "silver", BRONZE_TO_SILVER[bronze])
-        return write
-    return write_concurrently(spark, [clean(t) for t in tables], max_jobs)
+        return lambda: _write(stage, "silver", BRONZE_TO_SILVER[bronze], lambda: CLEANERS[bronze](
+            read_table(spark, root, "bronze", bronze, seen=stage.inputs)))
+    results = write_concurrently(spark, [clean(t) for t in tables], max_jobs)
+    stage.commit(r.entry("silver") for r in results)
+    return results
 
 
 def silver_to_gold(spark: SparkSession, root: str,
-                   max_jobs: int = 4) -> list[WriteResult]:
+                   max_jobs: int = 4, run: str | None = None) -> list[WriteResult]:
     """Fact and dimensions first, then the marts *from the written Gold
     tables* (they read what this stage just wrote, not a recomputation).
-    Each of the two waves runs its writes concurrently."""
-    def silver(t):
-        return read_table(spark, root, "silver", t)
+    Each of the two waves runs its writes concurrently; the five tables become current together."""
+    stage = begin(spark, root, "gold", run)
+
+    def silver(t: str) -> DataFrame:
+        return read_table(spark, root, "silver", t, seen=stage.inputs)
 
-    def gold(t):
-        return read_table(spark, root, "gold", t)
+    def gold(t: str) -> DataFrame:
+        return read_version(spark, "gold", t, stage.finished["gold", t].path)
+
+    def write(t: str, rows: Callable[[], DataFrame]) -> Callable[[], WriteResult]:
+        return lambda: _write(stage, "gold", t, rows)
 
     model = write_concurrently(spark, [
-        lambda: write_table(fact_order_items(silver("order_items"), silver("orders"),
-                                             silver("order_item_refunds")),
-                            root, "gold", "fact_order_items"),
-        lambda: write_table(dim_products(silver("products")),
-                            root, "gold", "dim_products"),
-        lambda: write_table(dim_website_sessions(silver("website_sessions")),
-                            root, "gold", "dim_website_sessions"),
+        write("fact_order_items", lambda: fact_order_items(
+            silver("order_items"), silver("orders"), silver("order_item_refunds"))),
+        write("dim_products", lambda: dim_products(silver("products"))),
+        write("dim_website_sessions", lambda: dim_website_sessions(silver("website_sessions"))),
     ], max_jobs)
     marts = write_concurrently(spark, [
-        lambda: write_table(mart_product_performance(gold("dim_products"),
-                                                     gold("fact_order_items")),
-                            root, "gold", "mart_product_performance"),
-        lambda: write_table(mart_session_conversion(gold("dim_website_sessions"),
-                                                    gold("fact_order_items")),
-                            root, "gold", "mart_session_conversion"),
+        write("mart_product_performance", lambda: mart_product_performance(
+            gold("dim_products"), gold("fact_order_items"))),
+        write("mart_session_conversion", lambda: mart_session_conversion(
+            gold("dim_website_sessions"), gold("fact_order_items"))),
     ], max_jobs)
+    stage.commit(r.entry("gold") for r in model + marts)
     return model + marts
 
 
+def _publish(spark: SparkSession, root: str, target: ServingTarget, run: str) -> list[PublishResult]:
+    """C8 of a run: Gold as it was when the stage began, each serving table once."""
+    stage = begin(spark, root, "publish", run)
+
+    def done(result: PublishResult) -> None:
+        stage.done(Entry("serving", result.gold_table, result.serving_table, result.row_count))
+    results = publish_gold(spark, root, target, seen=stage.inputs,
+                           finished={t: e.row_count for (_, t), e in stage.finished.items()}, done=done)
+    stage.commit(Entry("serving", r.gold_table, r.serving_table, r.row_count) for r in results)
+    return results
+
+
 @dataclass
 class PipelineRun:
-    """Results per completed stage, in run order."""
+    """Results per completed stage, in run order; ``run`` names the run in the manifest."""
     stages: dict[str, list[WriteResult] | list[PublishResult]] = field(
         default_factory=dict)
+    run: str = ""
+    resumed: list[str] = field(default_factory=list)
 
 
 def run_pipeline(spark: SparkSession, root: str,
                  source: TableSource | None = None,
                  target: ServingTarget | None = None,
                  stages: Sequence[str] = STAGES,
-                 max_jobs: int = 4) -> PipelineRun:
+                 max_jobs: int = 4, resume: bool = False) -> PipelineRun:
     """Run the requested stages in the fixed order extract -> silver ->
     gold -> publish; the first failing stage raises and later stages do not
     run. ``extract`` needs ``source``, ``publish`` needs ``target``.
     ``max_jobs`` caps the concurrent table writes of the silver and gold
-    stages (1 = one table at a time)."""
+    stages (1 = one table at a time).
+
+    ``resume`` takes up the lake's last run where it stopped: stages that it committed are
+    left as they are (``PipelineRun.resumed`` names them), a stage that it began reads the inputs
+    it began with and skips the tables it finished. Without an earlier run it starts one."""
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
-    run = PipelineRun()
+    if "extract" in stages and source is None:
+        raise ValueError("the extract stage needs a source")
+    if "publish" in stages and target is None:
+        raise ValueError("the publish stage needs a target")
+    run = PipelineRun(run=(latest_run(spark, root) if resume else None) or new_version())
+    over = committed_stages(spark, root, run.run) if resume else {}
     for stage in STAGES:
         if stage not in stages:
             continue
-        if stage == "extract":
-            if source is None:
-                raise ValueError("the extract stage needs a source")
-            run.stages[stage] = extract_to_bronze(spark, source, root)
+        if stage in over:
+            run.resumed.append(stage)
+            run.stages[stage] = [
+                PublishResult(e.table, e.path, False, e.row_count) if stage == "publish"
+                else WriteResult(e.table, e.path, e.row_count) for e in over[stage]]
+        elif stage == "extract":
+            run.stages[stage] = extract_to_bronze(spark, source, root, run=run.run)
         elif stage == "silver":
-            run.stages[stage] = bronze_to_silver(spark, root, max_jobs=max_jobs)
+            run.stages[stage] = bronze_to_silver(spark, root, max_jobs=max_jobs, run=run.run)
         elif stage == "gold":
-            run.stages[stage] = silver_to_gold(spark, root, max_jobs=max_jobs)
+            run.stages[stage] = silver_to_gold(spark, root, max_jobs=max_jobs, run=run.run)
         else:
-            if target is None:
-                raise ValueError("the publish stage needs a target")
-            run.stages[stage] = publish_gold(spark, root, target)
+            run.stages[stage] = _publish(spark, root, target, run.run)
     return run

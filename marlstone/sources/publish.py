@@ -15,12 +15,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from types import MappingProxyType
 from typing import Protocol
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.schemas import SERVING_TABLES
+from marlstone.sources.manifest import Snapshot, snapshot
 from marlstone.sources.zones import read_table
 
 
@@ -100,10 +102,10 @@ def jdbc_transaction(spark: SparkSession, options: Mapping[str, str],
 class JdbcTarget:
     """Serving tables in a relational database over JDBC.
 
-    ``replace_rows`` loads the rows into ``<table>__stage`` (tasks insert in
-    parallel), then empties and refills the table from it in one transaction
-    (``transaction``), columns by name: readers see the old rows or the new
-    ones, and a failure anywhere leaves the old.
+    ``replace_rows`` loads the rows into ``<table>__stage_...`` (tasks insert in
+    parallel; the name is new each time, so two publishers do not meet), then empties
+    and refills the table from it in one transaction (``transaction``), columns by name:
+    readers see the old rows or the new ones, and a failure anywhere leaves the old.
     """
     options: dict[str, str]
     num_partitions: int = 8
@@ -112,7 +114,7 @@ class JdbcTarget:
     transaction: Callable[[SparkSession, Mapping[str, str], Sequence[str]], None] = jdbc_transaction
 
     def name(self, table: str) -> str:
-        return f"{self.schema}.{table}"
+        return f'"{self.schema}"."{table}"'
 
     def _write(self, df: DataFrame, table: str) -> None:
         # numPartitions caps concurrent connections (Spark coalesces to it)
@@ -132,9 +134,10 @@ class JdbcTarget:
         return bool(probe["n"])
 
     def replace_rows(self, df: DataFrame, table: str) -> None:
-        target, stage = self.name(table), self.name(f"{table}__stage")
+        staged = f"{table}__stage_{uuid.uuid4().hex[:12]}"
+        target, stage = self.name(table), self.name(staged)
         columns = ", ".join(f'"{c}"' for c in df.columns)
-        self._write(df, f"{table}__stage")
+        self._write(df, staged)
         self.transaction(df.sparkSession, self.options, [
             f"TRUNCATE TABLE {target}",
             f"INSERT INTO {target} ({columns}) SELECT {columns} FROM {stage}",
@@ -161,11 +164,20 @@ def publish_table(df: DataFrame, target: ServingTarget, serving_table: str,
 
 
 def publish_gold(spark: SparkSession, root: str, target: ServingTarget,
-                 tables: Mapping[str, str] = SERVING_TABLES) -> list[PublishResult]:
+                 tables: Mapping[str, str] = SERVING_TABLES, seen: Snapshot | None = None,
+                 finished: Mapping[str, int] = MappingProxyType({}),
+                 done: Callable[[PublishResult], None] = lambda result: None) -> list[PublishResult]:
     """Publish every Gold table, in order, stop at the first
-    error (it propagates; earlier tables stay published)."""
+    error (it propagates; earlier tables stay published). All tables are read through one snapshot
+    (``seen``, by default the current one), so they come from one run. ``finished`` has the row
+    counts of Gold tables that an interrupted run has published; ``done`` is told of each one."""
+    seen = seen or snapshot(spark, root)
     results = []
     for gold_table, serving_table in tables.items():
-        df = read_table(spark, root, "gold", gold_table)
+        if gold_table in finished:
+            results.append(PublishResult(gold_table, serving_table, False, finished[gold_table]))
+            continue
+        df = read_table(spark, root, "gold", gold_table, seen=seen)
         results.append(publish_table(df, target, serving_table, gold_table))
+        done(results[-1])
     return results

@@ -10,6 +10,7 @@ from marlstone.plans.pipeline import STAGES, run_pipeline
 from marlstone.schemas import GOLD, SERVING_TABLES, SILVER, same_columns
 from marlstone.sources.publish import CatalogTarget
 from marlstone.sources.relational import CatalogSource, initialize_source
+from marlstone.sources.manifest import snapshot
 from marlstone.sources.zones import read_table, zone_path
 from tests.fixtures import SAMPLE_ROWS
 
@@ -47,8 +48,9 @@ def test_zone_layout_and_schemas(spark, lake):
     root = lake["root"]
     for zone, tables in (("silver", SILVER), ("gold", GOLD)):
         for t, schema in tables.items():
-            assert os.path.isdir(zone_path(root, zone, t))
-            on_disk = spark.read.parquet(zone_path(root, zone, t)).schema
+            path = snapshot(spark, root).get(zone, t).path
+            assert path.startswith(zone_path(root, zone, t) + "/") and os.path.isdir(path)
+            on_disk = spark.read.parquet(path).schema
             assert same_columns(on_disk, schema), (zone, t)
 
 

@@ -11,7 +11,8 @@ from marlstone.plans.pipeline import bronze_to_silver, extract_to_bronze
 from marlstone.sources.objectstore import bucket_root, object_store_conf
 from marlstone.sources.relational import CatalogSource, jdbc_options
 from marlstone.sources.publish import CatalogTarget, publish_table
-from marlstone.sources.zones import UnreadableTable, read_table, write_table
+from marlstone.sources.manifest import Entry, commit, snapshot
+from marlstone.sources.zones import UnreadableTable, adopt_files, read_table, write_table
 from tests.fixtures import bronze_frames
 
 
@@ -87,7 +88,7 @@ def test_failed_overwrite_keeps_the_old_rows(spark, scratch):
     with pytest.raises(Exception, match="broken"):
         write_table(failing(df), root, "bronze", "staging_orders")
     assert read_table(spark, root, "bronze", "staging_orders").count() == 2
-    assert os.listdir(f"{root}/bronze") == ["staging_orders"]
+    assert [e.row_count for e in snapshot(spark, root).zone("bronze")] == [2]
 
 
 def test_missing_column_raises(spark, scratch):
@@ -95,7 +96,11 @@ def test_missing_column_raises(spark, scratch):
     df = bronze_frames(spark)["staging_orders"].drop("price_usd")
     with pytest.raises(UnreadableTable, match="price_usd"):
         write_table(df, root, "bronze", "staging_orders")
-    df.write.parquet(f"{root}/bronze/staging_orders")
+    df.write.parquet(f"{root}/elsewhere")
+    with pytest.raises(UnreadableTable, match="price_usd"):
+        adopt_files(spark, root, "bronze", "staging_orders", f"{root}/elsewhere")
+    # a version that was committed by other means is checked when it is read
+    commit(spark, root, [Entry("bronze", "staging_orders", f"{root}/elsewhere", 2)])
     with pytest.raises(UnreadableTable, match="price_usd"):
         bronze_to_silver(spark, root, tables=["staging_orders"])
 
@@ -104,20 +109,38 @@ def test_other_type_raises(spark, scratch):
     root = tempfile.mkdtemp(prefix="typed-", dir=scratch)
     spark.range(2).selectExpr("CAST(id AS STRING) AS product_id", "'x' AS product_name",
                               "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS create_at"
-                              ).write.parquet(f"{root}/bronze/staging_products")
+                              ).write.parquet(f"{root}/products")
+    commit(spark, root, [Entry("bronze", "staging_products", f"{root}/products", 2)])
     with pytest.raises(UnreadableTable, match="product_id"):
         read_table(spark, root, "bronze", "staging_products")
 
 
+def test_adopted_files_stay_where_they_are(spark, scratch):
+    root = tempfile.mkdtemp(prefix="adopt-", dir=scratch)
+    bronze_frames(spark)["staging_products"].write.parquet(f"{root}/old/products")
+    assert adopt_files(spark, root, "bronze", "staging_products", f"{root}/old/products").row_count == 4
+    (silver,) = bronze_to_silver(spark, root, tables=["staging_products"])
+    assert silver.row_count == 4 and os.path.isdir(f"{root}/old/products")
+
+
 def test_unfinished_input_raises(spark, scratch):
     root = tempfile.mkdtemp(prefix="open-", dir=scratch)
     for name, df in bronze_frames(spark).items():
-        write_table(df, root, "bronze", name)
-    os.remove(f"{root}/bronze/staging_orders/_SUCCESS")
+        if name == "staging_orders":  # rows that no commit names
+            df.write.parquet(f"{root}/bronze/{name}/20240101T000000-half")
+        else:
+            write_table(df, root, "bronze", name)
     with pytest.raises(UnreadableTable, match="staging_orders"):
         bronze_to_silver(spark, root)
 
 
+def test_lost_files_raise(spark, scratch):
+    root = tempfile.mkdtemp(prefix="lost-", dir=scratch)
+    commit(spark, root, [Entry("bronze", "staging_orders", f"{root}/bronze/staging_orders/gone", 2)])
+    with pytest.raises(UnreadableTable, match="staging_orders"):
+        read_table(spark, root, "bronze", "staging_orders")
+
+
 def test_extract_keeps_every_column_and_type(spark, scratch):
     root = tempfile.mkdtemp(prefix="wide-", dir=scratch)
     spark.sql("CREATE DATABASE IF NOT EXISTS wide_src")
