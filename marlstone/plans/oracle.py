@@ -60,6 +60,20 @@ def silver_sql(table: str, source: str | None = None) -> str:
     return f"SELECT {columns} FROM {source or bronze}{kept}"
 
 
+#: Amounts times this are whole numbers: they are 0.01 or more, or differences of such, so their last bit is 2^-59
+#: at the least; below 2^34 they fit 128 bits in any sum of 2^33 rows.
+_UNIT = float(1 << 59)
+
+
+def _scaled(column: str) -> str:
+    return f"sum(({column} * {_UNIT!r}::DOUBLE)::HUGEINT)"
+
+
+def _unscaled(column: str) -> str:
+    """The double nearest the exact sum: by way of its digits, since a cast of a wide integer rounds twice."""
+    return f"sum({column})::HUGEINT::VARCHAR::DOUBLE / {_UNIT!r}::DOUBLE"
+
+
 def gold_sql(prefix: str = "") -> str:
     """Common table expressions of the Gold tables over Silver tables named
     ``prefix`` and their name."""
@@ -87,14 +101,15 @@ dim_website_sessions AS (
 ),
 product_totals AS (
   FROM fact_order_items
-  SELECT product_id, count(order_item_id) AS units, sum(revenue_usd) AS gross, sum(refund_amount_usd) AS back,
-         sum(net_profit_usd) AS profit
+  SELECT product_id, count(order_item_id) AS units, {_scaled('revenue_usd')} AS gross,
+         {_scaled('refund_amount_usd')} AS back, {_scaled('net_profit_usd')} AS profit
   GROUP BY product_id
 ),
 mart_product_performance AS (
   FROM dim_products LEFT JOIN product_totals t USING (product_id)
   SELECT product_id, product_name, ifnull(sum(units), 0)::BIGINT AS total_units_sold,
-         sum(gross) AS gross_revenue_usd, sum(back) AS total_refund_usd, sum(profit) AS net_profit_usd
+         {_unscaled('gross')} AS gross_revenue_usd, {_unscaled('back')} AS total_refund_usd,
+         {_unscaled('profit')} AS net_profit_usd
   GROUP BY ALL
 ),
 session_orders AS (
@@ -187,15 +202,23 @@ def _with(select: str) -> str:
     return f"WITH {BRONZE_SQL},\n{silver},{gold_sql('silver_')}\n{select}"
 
 
-_CENTS = ", ".join(f"round({c}, 2) AS {c}" for c in ("gross_revenue_usd", "total_refund_usd", "net_profit_usd"))
+def _counted(zone: str, name: str, relation: str) -> str:
+    return (f"SELECT '{zone}' AS zone, '{name}' AS table_name, count(*) AS observed_rows, count(*) AS counted_rows "
+            f"FROM {relation}")
+
+
+_GOLD = ("fact_order_items", "dim_products", "dim_website_sessions", "mart_product_performance",
+         "mart_session_conversion")
 
 ORACLE_SQL: dict[str, str] = {
+    "run_row_counts": _with("\nUNION ALL ".join([
+        *[_counted("bronze", bronze, bronze) for bronze, _ in SILVER_RULES.values()],
+        *[_counted("silver", t, f"silver_{t}") for t in SILVER_RULES], *[_counted("gold", t, t) for t in _GOLD]])),
+    **{f"run_{t}": _with(f"SELECT * FROM {t}") for t in ("mart_product_performance", "mart_session_conversion")},
     "bronze_extract_counts": _with("\nUNION ALL ".join(
         f"SELECT '{bronze}' AS table_name, count(*) AS row_count FROM {bronze}" for bronze, _ in SILVER_RULES.values())),
     **{f"silver_{t}": _with(f"SELECT * FROM silver_{t}") for t in SILVER_RULES},
     **{t: _with(f"SELECT * FROM {t}") for t in (
         "fact_order_items", "dim_products", "dim_website_sessions", "session_metrics", "order_metrics",
-        "mart_session_conversion")},
-    "mart_product_performance": _with(
-        f"SELECT product_id, product_name, total_units_sold, {_CENTS} FROM mart_product_performance"),
+        "mart_product_performance", "mart_session_conversion")},
 }

@@ -6,7 +6,6 @@ import tempfile
 import pytest
 
 import __spark_entry__ as entry
-from marlstone.functions import round2
 from marlstone.plans.pipeline import bronze_to_silver, silver_to_gold
 from marlstone.schemas import BRONZE_TO_SILVER, GOLD
 from marlstone.sources.testdata import bronze_tables
@@ -14,8 +13,6 @@ from marlstone.sources.zones import read_table, write_table
 from tests.conftest import SF_SMALL
 from tests.oracle_check import duck, rows_of_duck, rows_of_spark
 
-SUMS = ["gross_revenue_usd", "total_refund_usd", "net_profit_usd"]
-
 
 @pytest.fixture(scope="module")
 def lake(spark, scratch):
@@ -34,8 +31,6 @@ CASES = [("silver", t, f"silver_{t}") for t in BRONZE_TO_SILVER.values()] + [
 @pytest.mark.parametrize("zone,table,query", CASES)
 def test_written_table_matches_oracle(spark, lake, zone, table, query):
     df = read_table(spark, lake["root"], zone, table)
-    if table == "mart_product_performance":
-        df = df.select(*[round2(c).alias(c) if c in SUMS else c for c in df.columns])
     s_cols, s_rows = rows_of_spark(df)
     d_cols, d_rows, _ = rows_of_duck(duck(SF_SMALL), entry.oracle_sql()[query])
     assert s_cols == d_cols
