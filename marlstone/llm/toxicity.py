@@ -10,16 +10,18 @@ a logistic function of the expected number of toxic tokens and the largest
 marginal.
 
 Training takes at most ``sample`` labelled documents of each label and of at
-most ``sample_chars`` characters each, those with the smallest hash of doc_id,
-so what the driver holds is bounded by these parameters. Labels of documents
+most ``sample_chars`` characters each, those with the smallest hash of doc_id. They are cut into
+words in the executors; the driver gets 8 bytes for each of their words and every distinct word
+once, so what it holds is bounded by these parameters. Labels of documents
 become labels of tokens: a token of a toxic document is toxic if one of its
-features marks toxic documents (in ``support`` of them at least, near copies
-counted once, and e^3 times as often as in clean ones).
+features marks toxic documents, that is, occurs in a ``share`` of those in the sample (in ``least`` at the
+least; near copies count once) and ``ratio`` times as often as in clean ones.
 
 Defined cases: NULL text counts as empty; a text without words has the score of
 no evidence; rows of labels with a NULL doc_id or label are left out, the
 largest label of a doc_id counts; without labels of both kinds every score is
-0; repeated rows are scored each for itself; other columns are ignored.
+0; repeated rows are scored each for itself; a text longer than ``sample_chars`` is
+scored in whole, but not learnt from; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import flat, row_slices
+from marlstone.llm.common import flat, row_slices, staged
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 SLOTS = 64
@@ -130,48 +132,60 @@ def evidence(marginals: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return out
 
 
-def _markers(texts: list[list[bytes]], toxic: np.ndarray, support: int) -> set[bytes]:
-    counts, sizes = (Counter(), Counter()), [0, 0]
-    copies: dict[int, set[bytes]] = {}
-    for words, label in zip(texts, toxic):
-        same = min((zlib.crc32(b" ".join(words[i:i + 5])) for i in range(max(1, len(words) - 4))), default=0)
-        found = {f for w in set(words) for f in features(w)} - copies.setdefault(same, set())
-        copies[same] |= found
-        counts[label].update(found)
-        sizes[label] += 1
+def _first_of_group(group: np.ndarray, label: np.ndarray, lens: np.ndarray, ids: np.ndarray, pw: np.ndarray,
+                    pf: np.ndarray, n_features: int) -> np.ndarray:
+    """Numbers of groups of near copies that hold a feature, by the label of the first document of the
+    group with it: 2 rows of counts."""
+    counts = np.zeros((2, n_features), np.int64)
+    order = np.argsort(group, kind="stable")
+    first, each = np.searchsorted(pw, np.arange(pw[-1] + 2 if len(pw) else 1)), np.cumsum(lens) - lens
+    for same in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+        seen = np.zeros(0, np.int64)
+        for d in same.tolist():
+            words = np.unique(ids[each[d]:each[d] + lens[d]])
+            n = first[words + 1] - first[words]
+            at = np.repeat(first[words] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            new = np.setdiff1d(pf[at], seen)
+            counts[label[d], new] += 1
+            seen = np.union1d(seen, new) if len(same) > 1 else seen
+    return counts
+
+
+def _markers(counts: np.ndarray, sizes: np.ndarray, share: float, least: int, ratio: float) -> np.ndarray:
+    """Features that mark toxic documents: in ``share`` of them (in ``least`` at the least), and ``ratio``
+    times as often as in clean ones."""
     rate = (sizes[1] + 1) / (sizes[0] + 1)
-    return {f for f, n in counts[1].items()
-            if n >= support and (n + 0.5) / (counts[0][f] + 0.5) >= np.exp(3) * rate}
+    support = max(least, share * sizes[1])
+    return (counts[1] >= support) & ((counts[1] + 0.5) / (counts[0] + 0.5) >= ratio * rate)
 
 
-def train(rows: list[tuple[str, int]], prior: tuple[float, float], support: int = 15,
+def train(vocabulary: list[bytes], ids: np.ndarray, lens: np.ndarray, toxic: np.ndarray, same: np.ndarray,
+          prior: tuple[float, float], share: float = 0.005, least: int = 2, ratio: float = 50.0,
           rounds: int = 40) -> Model:
-    """rows: text and label. prior: numbers of clean and toxic labelled documents."""
-    toxic = np.array([r[1] for r in rows], int)
+    """ids: the word numbers (of ``vocabulary``) of all documents end to end; lens, toxic, same: number of words,
+    label and group of near copies of each. prior: numbers of clean and toxic labelled documents."""
     if len(set(toxic.tolist())) < 2:
         return Model()
-    texts = [WORD.findall((r[0] or "").encode().lower()) for r in rows]
-    markers = _markers(texts, toxic, support)
-    lens = np.array([len(t) for t in texts])
-    names: dict[bytes, int] = {}
-    ids = np.fromiter((names.setdefault(w, len(names)) for t in texts for w in t), np.int32,
-                      int(lens.sum()))
-    del texts
-    common = Counter(f for w in names for f in features(w))
+    common = Counter(f for w in vocabulary for f in features(w))
     known: dict[bytes, int] = {}
-    pair_word, pair_feature, marked = [], [], np.zeros(len(names), bool)
-    for w, i in names.items():
+    pair_word, pair_feature = [], []
+    for i, w in enumerate(vocabulary):
         for f in features(w):
-            marked[i] |= f in markers
             if f[:1] == b"=" or common[f] >= 2:
                 pair_word.append(i)
                 pair_feature.append(known.setdefault(f, len(known)))
+    del common
     pw, pf = np.array(pair_word, np.int64), np.array(pair_feature, np.int64)
+    del pair_word, pair_feature
+    markers = _markers(_first_of_group(same, toxic, lens, ids, pw, pf, len(known)), np.bincount(toxic, minlength=2),
+                       share, least, ratio)
+    marked = np.bincount(pw, markers[pf], len(vocabulary)) > 0
     label = (marked[ids] & np.repeat(toxic == 1, lens)).astype(float)
     starts = np.cumsum(lens) - lens
     last = np.r_[0.0, label[:-1]] if len(label) else label
     last[starts[lens > 0]] = 0.0
     seen = np.array([((1 - last) * label).sum(), (last * (1 - label)).sum(), (last * label).sum()])
+    names = vocabulary
     theta, steps, bias = np.zeros(len(known)), np.zeros(3), -4.0
     square, square_steps, square_bias = np.full(len(known), 1e-6), np.full(3, 1e-6), 1e-6
     has = lens[lens > 0]
@@ -200,9 +214,9 @@ def train(rows: list[tuple[str, int]], prior: tuple[float, float], support: int
     factor = np.array([of_word[w] for w in names])
     m = np.concatenate([forward_backward(factor[ids[tokens]], has[rows_], model.steps)
                         for tokens, rows_ in blocks] or [np.zeros(0)])
-    x = np.c_[np.ones(len(rows)), evidence(m, lens)]
-    share = np.bincount(toxic, minlength=2)
-    weight = np.array([prior[k] / share[k] for k in (0, 1)])[toxic]
+    x = np.c_[np.ones(len(lens)), evidence(m, lens)]
+    held = np.bincount(toxic, minlength=2)
+    weight = np.array([prior[k] / held[k] for k in (0, 1)])[toxic]
     weight /= weight.mean()
     beta = np.zeros(3)
     for _ in range(30):
@@ -288,9 +302,32 @@ def learnt(docs: DataFrame, labels: DataFrame, held_out: int = 5, sample: int =
               for k in (0, 1)]
     # 2 * sample ids at most
     chosen = F.broadcast(picked[0].unionByName(picked[1]))
-    rows = (docs.select("doc_id", "text").where(F.length("text") <= sample_chars)
-            .join(chosen, "doc_id").dropDuplicates(["doc_id"]).select("text", "toxic").collect())
-    return train([(r[0], r[1]) for r in rows], (counts.get(0, 0), counts.get(1, 0)))
+    texts = (docs.select("doc_id", "text").where(F.length("text") <= sample_chars)
+             .join(chosen, "doc_id").dropDuplicates(["doc_id"]).select("toxic", "text"))
+    tokens = staged(texts.mapInArrow(_tokens, "toxic int, same long, words array<binary>"), "tokens")
+    # the driver gets numbers and each word once, never texts
+    coded = tokens.select("toxic", "same", F.transform("words", lambda w: F.xxhash64(w)).alias("codes")).toArrow()
+    known = tokens.select(F.explode("words").alias("word")).distinct().select("word", F.xxhash64("word").alias("code"))
+    known = known.orderBy("code").toArrow()
+    codes = known["code"].to_numpy()
+    lists = coded["codes"].combine_chunks()
+    ids = np.searchsorted(codes, lists.flatten().to_numpy()).astype(np.int32)
+    lens = lists.value_lengths().to_numpy().astype(np.int64)
+    toxic, same = coded["toxic"].to_numpy().astype(int), coded["same"].to_numpy()
+    del coded, lists
+    return train(known["word"].to_pylist(), ids, lens, toxic, same, (counts.get(0, 0), counts.get(1, 0)))
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """toxic, same, words: a text's words, and the least hash of five of them in a row, which near
+    copies share mostly."""
+    for batch in batches:
+        data, at = flat(batch.column("text"))
+        words = [WORD.findall(data[at[i]:at[i + 1]].tobytes().lower()) for i in range(len(batch))]
+        same = [min((zlib.crc32(b" ".join(w[i:i + 5])) for i in range(max(1, len(w) - 4))), default=0) for w in words]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("toxic"), pa.array(same, pa.int64()), pa.array(words, pa.list_(pa.binary()))],
+            ["toxic", "same", "words"])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
