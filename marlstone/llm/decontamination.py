@@ -14,9 +14,10 @@ the hash of that many words at every document position; these passes run only
 for the lengths that occur.
 
 Defined cases: a NULL or empty text has no words and is not hit; items without
-words or with a NULL item_id are left out; an item_id given twice stands for
+words are left out; an item_id given twice stands for
 all its texts; rows of ``docs`` given twice get a result each, the same where
-doc_id and text are; a NULL doc_id is a value like any other; other columns
+doc_id and text are; a NULL doc_id is a value like any other; items with a NULL item_id
+count as one item, which has no place in the list of ids; other columns
 are ignored; without benchmark rows nothing is hit.
 """
 
@@ -82,12 +83,11 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_key, item_id, start, span: the windows of items in documents."""
     doc = ["doc_id", "text_key"]
     texts = docs.select(*doc, words_of("text").alias("words"))
-    items = (benchmark.where(F.col("item_id").isNotNull())
-             .select("item_id", words_of("text").alias("words"))
+    items = (benchmark.select("item_id", words_of("text").alias("words"))
              .where(F.size("words") > 0).distinct()
-             .withColumn("item_key", F.xxhash64("words")))
+             .withColumn("item_key", F.xxhash64("words", F.col("item_id").isNull(), F.col("item_id").cast("string"))))
     items = staged(items, "items")
-    item = ["item_id", "item_key"]
+    item = ["item_key"]
     place = F.col("pos") - F.col("item_pos")
     seeds = (fingerprints(texts, doc)
              .join(fingerprints(items, item).withColumnRenamed("pos", "item_pos"), "h")
@@ -108,7 +108,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
              .select(*doc, "words", F.explode("seeds").alias("seed"))
              .select(*doc, "seed.*", "words"))
     first = F.greatest(F.col("diagonal"), F.lit(0))
-    sized = items.select(*item, F.col("words").alias("item_words"))
+    sized = items.select(*item, "item_id", F.col("words").alias("item_words"))
     lengths = items.select(*item, F.size("words").alias("n"))
     pieces = (along.join(lengths, item)
               .select(*doc, *item, first.alias("first"), "n",
@@ -142,17 +142,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, share: int = 20) -> Dat
                .groupBy(key).agg(F.sum(F.greatest(
                    F.lit(0), end - F.greatest(F.col("start"), F.coalesce("before", F.lit(0)))))
                    .alias("n_hit")))
-    items = (hits.groupBy(key).agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
+    items = (hits.groupBy(key).agg(F.collect_set(F.col("item_id").cast("string")).alias("items"),
+                                   F.max(F.col("item_id").isNull().cast("int")).alias("unnamed"))
              .withColumnsRenamed({"doc_id": "d", "text_key": "k"}))
     found = (covered.join(items, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-             .select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "n_hit", "items"))
+             .select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "n_hit", "items", "unnamed"))
     counted = docs.select(*key, F.size(words_of("text")).cast("long").alias("n_words"))
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
     listed = F.coalesce(F.array_join(F.sort_array("items"), ","), F.lit(""))
     return (counted.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")),
                          "left")
             .select(*key, "n_words", n_hit.alias("n_hit"),
-                    F.coalesce(F.array_size("items"), F.lit(0)).cast("long").alias("n_items"),
+                    F.coalesce(F.array_size("items") + F.col("unnamed"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(listed, 256).alias("items_sha256"),
                     ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated")))
 
