@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash.
 
 Lines are the parts of a text between newlines, compared after they are
-lower-cased and outer spaces dropped; those of fewer than ``least`` characters are never
-removed. Two lines are alike if the Jaccard similarity of their sets of
+lower-cased and outer spaces dropped; lines without anything left are never removed. Two lines
+are alike if they are equal, or, where both have ``least`` characters or more, if the Jaccard similarity of their sets of
 ``SHINGLE``-byte strings is ``similarity`` or more. Signatures of ``BANDS`` x
 ``ROWS`` smallest hashes are cut into bands; lines that agree in a band are
 compared by their exact sets until those alike are connected. A large band
@@ -156,13 +156,13 @@ def _connect(similarity: float):
     return run
 
 
-def lines_of(docs: DataFrame, least: int) -> DataFrame:
-    """doc, text_key, place, line, line2, body: the lines that are compared.
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc, text_key, place, line, line2, body: the lines that are not empty.
     line and line2 are a 128-bit hash of the body."""
     body = F.lower(F.trim("part"))
     return (docs.select(*KEY, F.posexplode(F.split("text", "\n", -1)).alias("place", "part"))
             .select(*KEY, "place", body.alias("body"))
-            .where(F.length("body") >= least)
+            .where(F.length("body") > 0)
             .select(*KEY, "place", F.xxhash64(F.lit(1), "body").alias("line"),
                     F.xxhash64(F.lit(2), "body").alias("line2"), "body"))
 
@@ -255,8 +255,8 @@ def linked_lines(lines: DataFrame, similarity: float, block: int = 256) -> DataF
 
 def removed_lines(docs: DataFrame, least: int, similarity: float) -> DataFrame:
     """doc, text_key, places: the places of the lines that go."""
-    lines = staged(lines_of(docs, least), "lines")
-    linked = components(linked_lines(lines, similarity))
+    lines = staged(lines_of(docs), "lines")
+    linked = components(linked_lines(lines.where(F.length("body") >= least), similarity))
     placed = staged(lines.drop("body").distinct(), "placed")
     # classes by hash: a linked class has the component, any other its own 128-bit hash
     counts = placed.groupBy("line", "line2").agg(F.count(F.lit(1)).alias("n"))
