@@ -7,7 +7,7 @@
                sample rows if they are empty
 
 Sources and targets: ``jdbc`` (connection from the DB_* environment
-variables) or ``catalog:<database>``. Object-store settings come from the
+variables) or ``catalog:<database>``; targets also ``views:<database>``. Object-store settings come from the
 AWS_* environment variables when ``--s3`` is given. Results are printed as
 one JSON line per table.
 """
@@ -32,7 +32,7 @@ def _source(spec: str | None, rows_per_slice: int):
 
 
 def _target(spec: str | None, partitions: int):
-    from marlstone.sources.publish import CatalogTarget, JdbcTarget
+    from marlstone.sources.publish import CatalogTarget, JdbcTarget, ViewTarget
     from marlstone.sources.relational import jdbc_options
     if spec is None:
         return None
@@ -40,7 +40,9 @@ def _target(spec: str | None, partitions: int):
         return JdbcTarget(jdbc_options(), num_partitions=partitions)
     if spec.startswith("catalog:"):
         return CatalogTarget(spec.split(":", 1)[1] or None)
-    raise SystemExit(f"unknown target {spec!r}: use jdbc or catalog:<db>")
+    if spec.startswith("views:"):
+        return ViewTarget(spec.split(":", 1)[1])
+    raise SystemExit(f"unknown target {spec!r}: use jdbc, catalog:<db> or views:<db>")
 
 
 def _session(args):
@@ -71,7 +73,9 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--stages", nargs="+",
                      default=["extract", "silver", "gold", "publish"])
     run.add_argument("--source", help="jdbc | catalog:<db>")
-    run.add_argument("--target", help="jdbc | catalog:<db>")
+    run.add_argument("--target", help="jdbc | catalog:<db> | views:<db>")
+    run.add_argument("--resume", action="store_true",
+                     help="take up the last run of the root where it stopped")
     run.add_argument("--partitions", type=int, default=8,
                      help="JDBC write connections")
     run.add_argument("--rows-per-slice", type=int, default=1_000_000,
@@ -99,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
         result = run_pipeline(spark, args.root,
                               source=_source(args.source, args.rows_per_slice),
                               target=_target(args.target, args.partitions),
-                              stages=args.stages, max_jobs=args.max_jobs)
+                              stages=args.stages, max_jobs=args.max_jobs, resume=args.resume)
         for stage, rows in result.stages.items():
             for r in rows:
                 print(json.dumps({"stage": stage, **asdict(r)}))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.schemas import SERVING_TABLES
-from marlstone.sources.manifest import Snapshot, snapshot
+from marlstone.sources.manifest import Snapshot, new_version, snapshot
 from marlstone.sources.zones import read_table
 
 
@@ -70,6 +70,47 @@ class CatalogTarget:
         df.write.saveAsTable(self.name(table))
 
 
+@dataclass
+class ViewTarget:
+    """Serving names that are views of a Spark catalog database, each over a table of its own.
+
+    ``replace_rows`` writes the rows into a new table and then points the view at it, which is one change of
+    the catalog: readers see the old rows or the new ones, and a failure at any step leaves the old. The
+    table that the view showed before is dropped last, but for ``keep`` earlier ones, which queries that
+    began before the switch still read.
+    """
+    database: str
+    keep: int = 1
+
+    def name(self, table: str) -> str:
+        return f"`{self.database}`.`{table}`"
+
+    def exists(self, spark: SparkSession, table: str) -> bool:
+        return spark.catalog.tableExists(self.name(table))
+
+    def _versions(self, spark: SparkSession, table: str) -> list[str]:
+        """Tables of earlier and unfinished switches, oldest first."""
+        listed = spark.sql(f"SHOW TABLES IN `{self.database}` LIKE '{table}__v*'").collect()
+        return sorted(r.tableName for r in listed)
+
+    def replace_rows(self, df: DataFrame, table: str) -> None:
+        spark = df.sparkSession
+        if self.exists(spark, table):  # columns in the order the view has them
+            df = df.select(*spark.table(self.name(table)).columns)
+        before, new = self._versions(spark, table), f"{table}__v{new_version().lower().replace('-', '_')}"
+        try:
+            df.write.saveAsTable(self.name(new))
+        except BaseException:
+            spark.sql(f"DROP TABLE IF EXISTS {self.name(new)}")
+            raise
+        spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} AS SELECT * FROM {self.name(new)}")
+        for old in before[:max(0, len(before) - self.keep)]:
+            spark.sql(f"DROP TABLE IF EXISTS {self.name(old)}")
+
+    def create(self, df: DataFrame, table: str) -> None:
+        self.replace_rows(df, table)
+
+
 def jdbc_transaction(spark: SparkSession, options: Mapping[str, str],
                      statements: Sequence[str]) -> None:
     """Run ``statements`` in one transaction of the database, from the driver;

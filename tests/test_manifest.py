@@ -14,7 +14,7 @@ from marlstone.plans.pipeline import bronze_to_silver, run_pipeline, silver_to_g
 from marlstone.schemas import BRONZE, GOLD, SERVING_TABLES, SILVER
 from marlstone.sources import zones
 from marlstone.sources.manifest import Entry, commit, latest_run, records, snapshot
-from marlstone.sources.publish import CatalogTarget
+from marlstone.sources.publish import CatalogTarget, ViewTarget, publish_table
 from marlstone.sources.zones import UnreadableTable, expire_versions, read_table, write_table, zone_path
 from tests.fixtures import bronze_frames
 
@@ -232,3 +232,42 @@ def test_expired_versions_go(spark, root):
     assert sorted(gone) == sorted(paths[:2])
     assert [os.path.isdir(p) for p in paths] == [False, False, True, True]
     assert read_table(spark, root, "bronze", "staging_products").count() == 4
+
+
+def test_views_are_switched_last(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS view_bi")
+    target, df = ViewTarget("view_bi"), bronze_frames(spark)["staging_products"]
+
+    def rows():
+        return spark.sql("SELECT count(*) AS n FROM view_bi.gold_p").first()["n"]
+    assert publish_table(df, target, "gold_p").created and rows() == 4
+    again = publish_table(df.limit(2).select(*reversed(df.columns)), target, "gold_p")
+    assert not again.created and again.row_count == 2 and rows() == 2
+    assert spark.table("view_bi.gold_p").columns == df.columns
+    # rows that cannot be computed, and a switch that fails: the old rows stay
+    with pytest.raises(Exception, match="broken"):
+        publish_table(df.selectExpr("product_id", "create_at", "raise_error('broken') AS product_name"), target, "gold_p")
+    assert rows() == 2
+    sql = spark.sql
+
+    def fails(text, *args, **kwargs):
+        if text.startswith("CREATE OR REPLACE VIEW"):
+            raise OSError("lost")
+        return sql(text, *args, **kwargs)
+    monkeypatch.setattr(type(spark), "sql", lambda self, *a, **k: fails(*a, **k))
+    with pytest.raises(OSError, match="lost"):
+        publish_table(df, target, "gold_p")
+    monkeypatch.undo()
+    assert rows() == 2
+    for n in (1, 3, 4):
+        publish_table(df.limit(n), target, "gold_p")
+        assert rows() == n
+    # the table shown and one earlier are left
+    assert len(target._versions(spark, "gold_p")) == 2
+
+
+def test_publish_into_views(spark, root):
+    spark.sql("CREATE DATABASE IF NOT EXISTS view_gold")
+    run = run_pipeline(spark, root, Frames(spark), ViewTarget("view_gold"))
+    assert [p.row_count for p in run.stages["publish"]] == [3, 4, 5, 4, 4]
+    assert spark.table("view_gold.gold_fact_order_items").count() == 3
