@@ -20,12 +20,12 @@ import sys
 from dataclasses import asdict
 
 
-def _source(spec: str | None, rows_per_slice: int):
+def _source(spec: str | None, rows_per_slice: int, common_snapshot: bool):
     from marlstone.sources.relational import CatalogSource, JdbcSource, jdbc_options
     if spec is None:
         return None
     if spec == "jdbc":
-        return JdbcSource(jdbc_options(), rows_per_slice=rows_per_slice)
+        return JdbcSource(jdbc_options(), rows_per_slice=rows_per_slice, common_snapshot=common_snapshot)
     if spec.startswith("catalog:"):
         return CatalogSource(spec.split(":", 1)[1] or None)
     raise SystemExit(f"unknown source {spec!r}: use jdbc or catalog:<db>")
@@ -79,7 +79,9 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--partitions", type=int, default=8,
                      help="JDBC write connections")
     run.add_argument("--rows-per-slice", type=int, default=1_000_000,
-                     help="keys of one JDBC read statement")
+                     help="rows of one JDBC read statement")
+    run.add_argument("--separate-snapshots", action="store_true",
+                     help="let each JDBC read statement see the rows of its own moment")
     run.add_argument("--max-jobs", type=int, default=4,
                      help="concurrent table writes in the silver / gold stages")
 
@@ -101,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "run":
         from marlstone.plans.pipeline import run_pipeline
         result = run_pipeline(spark, args.root,
-                              source=_source(args.source, args.rows_per_slice),
+                              source=_source(args.source, args.rows_per_slice, not args.separate_snapshots),
                               target=_target(args.target, args.partitions),
                               stages=args.stages, max_jobs=args.max_jobs, resume=args.resume)
         for stage, rows in result.stages.items():

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark import InheritableThread
@@ -54,9 +55,15 @@ def _write(stage: Stage, zone: str, table: str, rows: Callable[[], DataFrame]) -
 
 def extract_to_bronze(spark: SparkSession, source: TableSource, root: str,
                       tables: Sequence[str] = SOURCE_TABLES, run: str | None = None) -> list[WriteResult]:
-    """Copy each source table, as is, to ``<root>/bronze/<table>``."""
+    """Copy each source table, as is, to ``<root>/bronze/<table>``, all as of
+    one moment where the source has a common snapshot. That ends with its transaction, so an
+    extract that is taken up again then reads every table anew."""
     stage = begin(spark, root, "extract", run)
-    results = [_write(stage, "bronze", t, lambda t=t: source.read(spark, t)) for t in tables]
+    if getattr(source, "common_snapshot", False):
+        stage.finished.clear()
+    one_moment = source.consistent(spark) if hasattr(source, "consistent") else nullcontext(source)
+    with one_moment as seen:
+        results = [_write(stage, "bronze", t, lambda t=t: seen.read(spark, t)) for t in tables]
     stage.commit(r.entry("bronze") for r in results)
     return results
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from marlstone.schemas import SERVING_TABLES
 from marlstone.sources.manifest import Snapshot, new_version, snapshot
+from marlstone.sources.relational import jdbc_connection
 from marlstone.sources.zones import read_table
 
 
@@ -115,14 +116,7 @@ def jdbc_transaction(spark: SparkSession, options: Mapping[str, str],
                      statements: Sequence[str]) -> None:
     """Run ``statements`` in one transaction of the database, from the driver;
     they move rows inside the database only."""
-    jvm = spark.sparkContext._jvm
-    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
-    driver = jvm.java.lang.Class.forName(options["driver"], True, loader)
-    properties = jvm.java.util.Properties()
-    for name in ("user", "password"):
-        if options.get(name):
-            properties.setProperty(name, options[name])
-    connection = driver.getDeclaredConstructor().newInstance().connect(options["url"], properties)
+    connection = jdbc_connection(spark, options)
     try:
         connection.setAutoCommit(False)
         statement = connection.createStatement()
