@@ -8,9 +8,10 @@ their similarity. From the root of each run a record takes the paths of the
 tokens that a hash of (path, token) selects, 1 / ``RATE`` of them on average;
 records on one path form a bucket. Buckets of up to ``limit`` records are
 compared pair by pair. Larger ones are split again by further tokens, until
-they are small, stop shrinking (their records are alike) or are ``depth``
-tokens deep; what is still large is compared in pairs of blocks, so
-no task holds it whole. Runs are repeated so that a pair of the least
+they are small, stop shrinking or are ``depth`` tokens deep. A bucket one of whose
+parts is still large and nearly as large as itself holds records that are alike: it
+is compared as it is, once, in place of its parts, which hold no other pairs. What
+is large is compared in pairs of blocks, so no task holds it whole. Runs are repeated so that a pair of the least
 similarity shares a bucket with the target probability even at full depth.
 
 A pair that passes the embedding's estimate is verified by the exact sets in
@@ -171,7 +172,8 @@ def _split(runs: int):
                 row, col = np.nonzero(h < limit)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(mixed(h[row, col] + _M1).view(np.int64)), pa.array(ids[row]),
-                     pa.array(parent[row])], ["path", "record", "parent"])
+                     pa.array(parent[row]), pa.array(path[row].view(np.int64))],
+                    ["path", "record", "parent", "above"])
     return run
 
 
@@ -270,22 +272,25 @@ def _dealt(buckets: DataFrame, block: int) -> DataFrame:
 def buckets_of(records: DataFrame, runs: int, depth: int, limit: int) -> DataFrame:
     """path, record, n: buckets of two records at least, each set of records
     once. ``records`` has record and sig."""
-    shape = "path long, record long, parent long"
+    shape = "path long, record long, parent long, above long"
     total = records.count()
     rows = records.withColumn("n", F.lit(total).cast("long")).mapInArrow(_split(runs), shape)
-    done = []
+    done, large = [], None
+    stuck = (F.col("n") > limit) & (F.col("n") > 0.8 * F.col("parent"))
     for level in range(1, depth + 1):
         rows = staged(rows, f"paths{level}")
         counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         met = staged(rows.join(counts, "path"), f"buckets{level}")
-        more = (F.col("n") > limit) & (F.col("n") <= 0.8 * F.col("parent"))
-        if level == depth:
-            more = F.lit(False)
+        if large is not None:  # stuck parts give way to the bucket that they are parts of
+            whole = staged(met.where(stuck).select("above").distinct(), f"whole{level}")
+            done.append(large.join(whole.withColumnRenamed("above", "path"), "path", "left_semi"))
+            met = met.join(whole, "above", "left_anti")
+        more = (F.col("n") > limit) & ~stuck if level < depth else F.lit(False)
         done.append(met.where(~more).select("path", "record", "n"))
-        large = met.where(more)
+        large = met.where(more).select("path", "record", "n")
         if level == depth or large.isEmpty():
             break
-        rows = large.select("path", "record", "n").join(records, "record").mapInArrow(_split(0), shape)
+        rows = large.join(records, "record").mapInArrow(_split(0), shape)
     all_ = done[0]
     for d in done[1:]:
         all_ = all_.unionByName(d)

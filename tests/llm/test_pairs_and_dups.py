@@ -122,6 +122,28 @@ def test_jaccard_dedup(docs):
     assert set(got) <= set(ROWS)
 
 
+def test_large_group_of_near_copies(spark):
+    """Records that stay together under every token: their buckets are kept whole, once,
+    and compared in blocks; other texts beside them are not linked."""
+    rng = np.random.default_rng(9)
+    base = [f"word{x}" for x in rng.integers(0, 10_000, 150)]
+    texts = []
+    for i in range(150):
+        words_ = list(base)
+        words_[int(rng.integers(0, 150))] = f"changed{i}"
+        texts.append(" ".join(words_))
+    texts += [" ".join(f"other{x}" for x in rng.integers(0, 10_000, 60)) for _ in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingles(t) for t in texts]
+    truth = [sum(1 for j, b in enumerate(sets) if i != j and len(a & b) >= 0.8 * len(a | b))
+             for i, a in enumerate(sets)]
+    for options in ({"limit": 16, "block": 32, "recall": 0.999}, {"limit": 16, "block": 1024, "recall": 0.999, "depth": 4}):
+        got = {r.doc_id: r for r in jaccard_join(docs, **options).collect()}
+        assert all(got[i].class_id == (0 if i < 150 else i) for i in range(250))
+        assert all(got[i].n_links <= n for i, n in enumerate(truth))
+        assert sum(r.n_links for r in got.values()) >= 0.98 * sum(truth)
+
+
 def test_runs_reach_the_recall():
     # the branching process against its simulation
     rng = np.random.default_rng(3)
