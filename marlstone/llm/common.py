@@ -95,6 +95,22 @@ def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield rest
 
 
+def key_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Sorted rows in tables of whole groups with equal ``key``, and the offsets
+    of the groups in each: many small groups cost one conversion."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        now = pa.concat_tables([rest, now]) if rest is not None else now
+        key = now["key"].to_numpy()
+        cut = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist()]
+        if len(cut) > 1:
+            yield now.slice(0, cut[-1]).combine_chunks(), cut
+        rest = now.slice(cut[-1]) if len(key) else rest
+    if rest is not None and len(rest):
+        yield rest.combine_chunks(), [0, len(rest)]
+
+
 def package_path(path: str) -> str:
     """Place of a vocabulary file of the public tokenizers by its name; a path
     stays as it is."""

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import bit_filter, by_key, flat, maybe_in, row_slices, staged
+from marlstone.llm.common import bit_filter, flat, key_ranges, maybe_in, row_slices, staged
 from marlstone.llm.components import components
 
 SHINGLE, BANDS, ROWS = 8, 12, 5
@@ -82,15 +82,14 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["band", "line"])
 
 
-def shingles(line: bytes) -> np.ndarray:
-    """The set of a line's shingles, as sorted 64-bit numbers."""
-    if len(line) < SHINGLE:
-        return np.zeros(0, np.uint64)
-    data = np.frombuffer(line, np.uint8).astype(np.uint64)
-    out = np.zeros(len(data) - SHINGLE + 1, np.uint64)
+def shingle_sets(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """The set of each line's shingles, as sorted 64-bit numbers."""
+    n = max(len(data) - SHINGLE + 1, 0)
+    wide = np.zeros(n, np.uint64)
     for k in range(SHINGLE):
-        out = out << np.uint64(8) | data[k:len(data) - SHINGLE + 1 + k]
-    return np.unique(out)
+        wide <<= np.uint64(8)
+        wide |= data[k:n + k]
+    return [np.unique(wide[lo:max(hi - SHINGLE + 1, lo)]) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
@@ -128,34 +127,66 @@ def _connect(similarity: float):
     them; rows of one class (that of a line alone is the line) are connected
     already and not compared again. Keys with two parts compare only lines of
     different parts."""
+    def roots(classes: np.ndarray, part: np.ndarray, across: bool, sets: list[np.ndarray]) -> list[int]:
+        first: dict[int, int] = {}
+        root = [first.setdefault(c, i) for i, c in enumerate(classes.tolist())]
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+        product = len(sets) >= PRODUCT_LINES and sum(map(len, sets)) and \
+            len(np.unique(np.concatenate(sets))) <= PRODUCT_SHINGLES
+        pairs = alike_pairs(sets, similarity) if product else ((i, j) for i in range(len(sets)) for j in range(i))
+        for i, j in pairs:
+            if across and part[i] == part[j]:
+                continue
+            x, y = top(i), top(j)
+            if x != y and (product or alike(sets[i], sets[j], similarity)):
+                root[x] = y
+        return [top(i) for i in range(len(sets))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in by_key(batches):
-            classes, part = group["class"].to_numpy(), group["part"].to_numpy()
-            across = group["low"][0].as_py() != group["high"][0].as_py()
-            sets = [shingles(b.encode()) for b in group["body"].to_pylist()]
-            first: dict[int, int] = {}
-            root = [first.setdefault(c, i) for i, c in enumerate(classes.tolist())]
-
-            def top(x: int) -> int:
-                while root[x] != x:
-                    root[x] = root[root[x]]
-                    x = root[x]
-                return x
-            product = len(sets) >= PRODUCT_LINES and sum(map(len, sets)) and \
-                len(np.unique(np.concatenate(sets))) <= PRODUCT_SHINGLES
-            pairs = alike_pairs(sets, similarity) if product else ((i, j) for i in range(len(sets)) for j in range(i))
-            for i, j in pairs:
-                if across and part[i] == part[j]:
-                    continue
-                x, y = top(i), top(j)
-                if x != y and (product or alike(sets[i], sets[j], similarity)):
-                    root[x] = y
+        for groups, cut in key_ranges(batches):
+            data, at = flat(groups["body"])
+            classes, part, low, high = (groups[c].to_numpy() for c in ("class", "part", "low", "high"))
+            root = np.empty(len(classes), np.int64)
+            # the shingles of so many groups at a time: 512 KB of lines, one group at least
+            for some, most in row_slices(at[cut], 1 << 19):
+                begin, end = cut[some], cut[most]
+                sets = shingle_sets(data[at[begin]:at[end]], at[begin:end + 1] - at[begin])
+                for lo, hi in zip(cut[some:most], cut[some + 1:most + 1]):
+                    of = roots(classes[lo:hi], part[lo:hi], low[lo] != high[lo], sets[lo - begin:hi - begin])
+                    root[lo:hi] = classes[lo:hi][of]
             yield pa.RecordBatch.from_arrays(
-                [group["band"].combine_chunks(), pa.array(classes),
-                 pa.array(classes[[top(i) for i in range(len(classes))]])], ["band", "line", "root"])
+                [groups["band"].combine_chunks(), pa.array(classes), pa.array(root)], ["band", "line", "root"])
     return run
 
 
+def _shared_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """band, line once, of the bands with two different lines or more; rows come
+    sorted by both. One row is held back from batch to batch."""
+    held_band = held_line = np.zeros(0, np.int64)
+    met = False  # whether the row held back has a different line of its band before it
+    for batch in batches:
+        band = np.concatenate([held_band, batch.column("band").to_numpy()])
+        line = np.concatenate([held_line, batch.column("line").to_numpy()])
+        if not len(band):
+            continue
+        new = np.ones(len(band), bool)
+        new[1:] = (band[1:] != band[:-1]) | (line[1:] != line[:-1])
+        band, line = band[new], line[new]
+        before = np.zeros(len(band), bool)
+        before[0] = met
+        before[1:] = band[1:] == band[:-1]
+        on = before[:-1] | before[1:]
+        yield pa.RecordBatch.from_arrays([pa.array(band[:-1][on]), pa.array(line[:-1][on])], ["band", "line"])
+        held_band, held_line, met = band[-1:], line[-1:], bool(before[-1])
+    if met:
+        yield pa.RecordBatch.from_arrays([pa.array(held_band), pa.array(held_line)], ["band", "line"])
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc, text_key, place, line, line2, body: the lines that are not empty.
     line and line2 are a 128-bit hash of the body."""
@@ -218,10 +249,9 @@ def linked_lines(lines: DataFrame, similarity: float, block: int = 256) -> DataF
     each connected group goes on as long as that makes a band much smaller; at
     the end all its lines that are not connected are compared, blocks pair by
     pair."""
-    banded = lines.select("line", "body").mapInArrow(_band_keys, "band long, line long").repartition("band")
-    shared = (banded.groupBy("band").agg(F.min("line").alias("least"), F.max("line").alias("most"))
-              .where(F.col("least") != F.col("most")).select("band"))
-    met = staged(banded.join(shared, "band").distinct(), "met")
+    shape = "band long, line long"
+    banded = lines.select("line", "body").mapInArrow(_band_keys, shape)
+    met = staged(banded.repartition("band").sortWithinPartitions("band", "line").mapInArrow(_shared_bands, shape), "met")
     open_ = staged(_one_of_each(met), "open")
     wanted = open_.select("line").distinct()
     bodies = staged(

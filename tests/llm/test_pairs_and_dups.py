@@ -1,17 +1,19 @@
 """Exact dedup, byte-string dedup, Jaccard join and line dedup against brute force."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from marlstone.llm.common import bit_filter, maybe_in, without
+from marlstone.llm.common import bit_filter, key_ranges, maybe_in, without
 from marlstone.llm.components import components
 from marlstone.llm.exact_dedup import exact_dedup, powers
 from marlstone.llm.jaccard_join import jaccard_dedup, jaccard_join, survival
-from marlstone.llm.line_dedup import alike, alike_pairs, drop_repeated_lines, line_dedup, linked_lines
-from marlstone.llm.line_dedup import shingles as line_shingles
+from marlstone.llm.line_dedup import (
+    _shared_bands, alike, alike_pairs, drop_repeated_lines, line_dedup, linked_lines, shingle_sets)
 from marlstone.llm.suffix_dedup import suffix_dedup
 from tests.llm.fixtures import SCHEMA, corpus, words
 
@@ -153,6 +155,38 @@ def test_runs_reach_the_recall():
     assert abs((alive > 0).mean() - survival(0.8, 5)) < 0.02
 
 
+def line_shingles(line):
+    return shingle_sets(np.frombuffer(line, np.uint8), np.array([0, len(line)]))[0]
+
+
+def test_line_shingles():
+    lines = [b"abcdefghijk", b"short", b"", b"abababababab", b"abcdefgh"]
+    got = shingle_sets(np.frombuffer(b"".join(lines), np.uint8), np.cumsum([0] + [len(x) for x in lines]))
+    for line, found in zip(lines, got):
+        assert found.tolist() == sorted({int.from_bytes(line[i:i + 8], "big") for i in range(len(line) - 7)})
+
+
+def _batches(rng, rows, names):
+    """The rows in batches of random sizes, empty ones too."""
+    while rows:
+        some, rows = rows[:(k := rng.randint(0, 7))], rows[k:]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (list(zip(*some)) or [[], []])], names)
+
+
+def test_sorted_rows_across_batches():
+    """Bands with two lines and groups of a key, however the rows are cut into batches."""
+    rng = random.Random(1)
+    for _ in range(200):
+        rows = sorted((rng.randint(0, 12), rng.randint(0, 3)) for _ in range(rng.randint(0, 60)))
+        got = [r for b in _shared_bands(_batches(rng, rows, ["band", "line"]))
+               for r in zip(*(c.to_pylist() for c in b.columns))]
+        lines = {band: {x for b, x in rows if b == band} for band, _ in rows}
+        assert got == sorted({r for r in rows if len(lines[r[0]]) > 1})
+        groups = [table["key"].to_pylist()[lo:hi] for table, cut in key_ranges(_batches(rng, rows, ["key", "v"]))
+                  for lo, hi in zip(cut, cut[1:])]
+        assert [g[0] for g in groups] == sorted(lines) and sum(groups, []) == [r[0] for r in rows]
+
+
 def line_truth(least=24, similarity=0.8):
     docs = sorted({(low(i), i, t) for i, t, *_ in ROWS if t is not None}, key=lambda x: x[0])
     found = {}
