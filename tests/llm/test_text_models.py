@@ -192,6 +192,31 @@ def test_language_model_has_contexts_of_five_bytes(spark):
     assert got and got == {(i, round(ctw_brute(train, t.encode(), 5), 4)) for i, t in rows}
 
 
+def test_language_model_in_small_batches_and_blocks(spark):
+    """Parts that only held-out texts ask for, met in batches of their own."""
+    rows = [(i, f"{chr(97 + i % 26)}{chr(65 + i % 7)} é{i % 5} the end") for i in range(120)]
+    rows += [(None, None), (3, ""), (7, "the end " * 30)]
+    train = [(t or "").encode() for i, t in rows if i is not None and crc(i, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        got = Counter((r["doc_id"], round(r["score"], 4))
+                      for r in language_model(docs, depth=3, block_rows=4, block_bytes=50).collect())
+    finally:
+        spark.conf.set(name, before)
+    assert got == Counter((i, round(ctw_brute(train, (t or "").encode(), 3), 4)) for i, t in rows)
+
+
+def test_leaves_come_in_slices_of_whole_contexts():
+    code, _ = grams(np.random.default_rng(1).integers(97, 100, 400).astype(np.uint8), np.array([0, 400]), 3)
+    gram, n = np.unique(code, return_counts=True)
+    whole, some = leaves(gram, n), leaves(gram, n, step=5)
+    assert np.array_equal(whole.keys, some.keys) and np.array_equal(whole.ones, some.ones)
+    assert np.array_equal(whole.zeros, some.zeros) and len(np.unique(some.keys)) == len(some.keys)
+
+
 def test_language_model_without_training_rows(spark):
     ids = [i for i in range(200) if crc(i, 10) == 0][:3]
     got = language_model(spark.createDataFrame([(i, "ab c") for i in ids], "doc_id long, text string")).collect()
