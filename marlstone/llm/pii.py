@@ -27,8 +27,9 @@ A value is found by one pattern whose parts are bounded or possessive, so long
 texts take time in proportion. What a pattern finds and validation rejects stays as it is.
 
 Defined cases: NULL text stays NULL, a text without values is unchanged;
-repeated rows give equal results; other columns stay as they are; columns
-called like the two new ones are replaced.
+repeated rows give equal results; other columns, doc_id and NULLs in them
+included, stay as they are; columns called like the two new ones are replaced;
+an empty table gives an empty one.
 """
 
 from __future__ import annotations
