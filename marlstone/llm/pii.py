@@ -66,7 +66,10 @@ IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})"
         r"(?![0-9]|[./-][0-9])")
-ANY = "|".join([EMAIL, SECRET, IBAN, NANP, ABROAD, CARD, IPV4, SSN, DATE])
+#: The patterns above in their order, each only where its first character can stand: most
+#: places, inside a word, take two looks instead of one for each pattern.
+ANY = ("(?=[A-Za-z])(?<![A-Za-z0-9])(?:" + "|".join([EMAIL, "(?=[apstAPST])" + SECRET, IBAN]) + ")|(?=[0-9+(._%-])(?:"
+       + "|".join([EMAIL, NANP, ABROAD, CARD, IPV4, SSN, DATE]) + ")")
 
 
 #: Kinds whose varying part is a string of digits.
@@ -293,18 +296,19 @@ def pseudonymise(docs: DataFrame, key: str, restore: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in text, and n_values (values replaced) and
     kinds (their kinds, sorted, comma-joined)."""
     others = [c for c in docs.columns if c not in ("n_values", "kinds")]
+    # one row's text is searched once, and cut only where something is found
+    none = F.array().cast("array<string>")
     found = docs.select(F.struct(*[c for c in others if c != "text"]).alias("_row"), "text",
-                        F.when(F.col("text").rlike(ANY), F.regexp_extract_all("text", F.lit(ANY), 0)).alias("_found"))
-    plain = found.where(F.col("_found").isNull()).select(
-        "_row", "text", F.lit(0).cast("long").alias("n_values"), F.lit("").alias("kinds"))
-    hit = found.where(F.col("_found").isNotNull()).select("_row", F.split("text", ANY, -1).alias("_parts"), "_found")
-    hit = pseudonyms(hit, key, restore)
-    hit = hit.select("_row", "_parts", "_found",
+                        F.coalesce(F.regexp_extract_all("text", F.lit(ANY), 0), none).alias("_found"))
+    found = found.withColumn("_parts", F.when(F.size("_found") > 0, F.split("text", ANY, -1)))
+    hit = pseudonyms(found, key, restore)
+    hit = hit.select("_row", "text", "_parts", "_found",
                      F.filter("_found", lambda m: ~m["new"].eqNullSafe(m["old"])).alias("_changed"))
     text = F.concat(F.array_join(F.zip_with(
         F.slice("_parts", 1, F.size("_found")), F.col("_found"), lambda p, m: F.concat(p, m["new"])), ""),
         F.element_at("_parts", -1))
-    hit = hit.select("_row", text.alias("text"), F.size("_changed").cast("long").alias("n_values"),
+    hit = hit.select("_row", F.when(F.size("_found") > 0, text).otherwise(F.col("text")).alias("text"),
+                     F.size("_changed").cast("long").alias("n_values"),
                      F.array_join(F.sort_array(F.array_distinct(F.transform("_changed", lambda m: m["kind"]))), ",").alias("kinds"))
-    return plain.unionByName(hit).select(
+    return hit.select(
         *[F.col("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in others], "n_values", "kinds")

@@ -18,7 +18,7 @@ from marlstone.llm.language_id import identify
 from marlstone.llm.language_model import codes, grams, language_model, leaves, levels, log10_of
 from marlstone.llm.oracle import ORACLE_SQL
 from marlstone.llm.packing import Encoder, best_fit_decreasing, lower_bound, pack, pack_documents
-from marlstone.llm.pii import ANY, pseudonymise
+from marlstone.llm.pii import ABROAD, ANY, CARD, DATE, EMAIL, IBAN, IPV4, NANP, SECRET, SSN, pseudonymise
 from marlstone.llm.toxicity import WORD, drop_toxic, forward_backward, toxicity
 from tests.llm.fixtures import SCHEMA, corpus, make_text, words
 
@@ -385,6 +385,24 @@ def test_language_id(spark):
     assert identify(pages.limit(0), docs).count() == 0
 
 
+PII_PARTS = ["password", "pwd: ", "TOKEN=abcdefgh", "api_key = 'x9", "a.b@c.de", "@", "+1", "+49 ", "555", " ", "-", ".", "(",
+             ") ", "212", "4111111111111111", "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00", "1.2.3.4", "999",
+             "123-45-6789", "2024-02-29", "29.02.2024", "02/29/2024", "é", "x", "A", "Z9", "_", "%", "\n", "/", "0", "12345"]
+
+
+def test_pii_searches_each_text_once(spark):
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choices(PII_PARTS, k=rng.randint(0, 14)))) for i in range(5000)] + [(5000, None)]
+    some = spark.createDataFrame(rows, "doc_id long, text string")
+    # what is found is what the patterns find in their order, each tried everywhere
+    every = "|".join([EMAIL, SECRET, IBAN, NANP, ABROAD, CARD, IPV4, SSN, DATE])
+    found = [F.regexp_extract_all("text", F.lit(p), 0) for p in (every, ANY)]
+    assert some.where(~found[0].eqNullSafe(found[1])).count() == 0
+    assert some.where(F.size(found[0]) > 0).count() > 1000
+    plan = pseudonymise(some, key="k")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "Union" not in plan
+
+
 def test_encoder_equals_the_tokenizer():
     rng = random.Random(1)
     letters = [chr(c) for c in range(256)] + list("abcdefgsdlmrtve'' ' \n\t AZ09éßÀ") * 8
