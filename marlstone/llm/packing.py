@@ -15,7 +15,7 @@ partition has packed everything given up, when an exchange saves no sequence
 
 Ids: those of the tokenizer, then ``end_id``. Words are encoded once each and
 kept, which gives the tokenizer's own ids because it treats the words of its
-pattern separately; texts with characters beyond Latin-1 or a special token
+pattern separately; a worker process keeps them from task to task; texts with characters beyond Latin-1 or a special token
 go through the tokenizer whole.
 
 Defined cases: NULL text counts as empty, whose ids are the end id alone;
@@ -29,6 +29,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +46,20 @@ OTHER = re.compile("[^\x00-\xff]|<\\|(?:start|end)oftext\\|>")
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers."""
+    """Ids of texts as little-endian unsigned 32-bit numbers. Words met lately
+    are kept, in two generations of at most ``most`` each."""
 
     def __init__(self, path: str, most: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(package_path(path))
+        # for words: they are normalised and cut already
+        self.plain = Tokenizer.from_file(package_path(path))
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.most = most
 
         self.last = np.array([s.endswith("</w>") for s, _ in sorted(
@@ -61,29 +70,40 @@ class Encoder:
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, from one text of all: a word's last id says so."""
-        ids = self._encode(" ".join(words))
+        ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         cut = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
         if len(cut) != len(words) + 1:
             return [self._encode(w).tobytes() for w in words]
         raw = ids.tobytes()
         return [raw[lo:hi] for lo, hi in zip(cut, cut[1:])]
 
+    def _learn(self, asked: set[str]) -> None:
+        if len(self.known) + len(asked) > self.most:
+            self.known, self.older = {}, self.known
+        new = asked.difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in again)
+        new = list(new - again)
+        for i in range(0, len(new), 512):
+            self.known.update(zip(new[i:i + 512], self._encode_words(new[i:i + 512])))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         words = [None if OTHER.search(t) else WORD.findall(t.lower()) for t in texts]
-        asked = {w for ws in words if ws for w in ws}
-        if len(self.known) + len(asked) > self.most:
-            self.known = {}
-        new = [w for w in asked if w not in self.known]
-        for i in range(0, len(new), 4096):
-            self.known.update(zip(new[i:i + 4096], self._encode_words(new[i:i + 4096])))
+        self._learn(set(chain.from_iterable(ws for ws in words if ws)))
         get = self.known.__getitem__
         return [self._encode(t).tobytes() if ws is None else b"".join(map(get, ws))
                 for t, ws in zip(texts, words)]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One for all tasks of a worker process: the words it knows stay."""
+    return Encoder(path)
+
+
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        encoder, end = encoder_of(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             _, at = flat(batch.column("text"))
             row, piece, start, length, crc = [], [], [], [], []

@@ -10,6 +10,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from marlstone.llm.decontamination import decontaminate, drop_contaminated
 from marlstone.llm.language_id import identify
 from marlstone.llm.language_model import codes, grams, language_model, leaves, levels, log10_of
 from marlstone.llm.oracle import ORACLE_SQL
-from marlstone.llm.packing import Encoder, best_fit_decreasing, lower_bound, pack, pack_documents
+from marlstone.llm.packing import Encoder, _pieces, best_fit_decreasing, lower_bound, pack, pack_documents
 from marlstone.llm.pii import ABROAD, ANY, CARD, DATE, EMAIL, IBAN, IPV4, NANP, SECRET, SSN, pseudonymise
 from marlstone.llm.toxicity import WORD, drop_toxic, forward_backward, toxicity
 from tests.llm.fixtures import SCHEMA, corpus, make_text, words
@@ -413,6 +414,20 @@ def test_encoder_equals_the_tokenizer():
     assert encoder(texts) == plain
 
 
+def test_encoder_keeps_words(monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("abcd  'sé1.,", k=60)) for _ in range(300)]
+    whole = Encoder("word_bpe_49k.json").tokenizer.encode_batch(texts, add_special_tokens=False)
+    small = Encoder("word_bpe_49k.json", most=40)
+    assert [x for i in range(0, 300, 7) for x in small(texts[i:i + 7])] == [np.array(e.ids, "<u4").tobytes() for e in whole]
+    assert small.older
+    # a second task of the same process encodes no word again
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": texts})
+    first = [b.to_pylist() for b in _pieces("word_bpe_49k.json", 1, 4096)(iter([batch]))]
+    monkeypatch.setattr(Encoder, "_encode_words", None)
+    assert [b.to_pylist() for b in _pieces("word_bpe_49k.json", 1, 4096)(iter([batch]))] == first
+
+
 def test_packing(docs):
     got = pack_documents(docs, capacity=256, share=30).collect()
     encoder = Encoder("word_bpe_49k.json")
