@@ -34,6 +34,9 @@ from marlstone.llm.components import components
 
 SHINGLE, BANDS, ROWS = 8, 12, 5
 KEY = ["doc", "text_key"]
+#: Bands and lines travel packed by the first bits of the band, about so many pairs in a batch,
+#: and are settled so many at a time.
+PART_BITS, PACKED, SETTLED = 12, 1 << 20, 1 << 21
 
 
 def shingle_hashes(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,32 +57,56 @@ def shingle_hashes(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndar
     return code[starts + np.arange(ends[-1])], ends
 
 
+def line_bands(data: np.ndarray, at: np.ndarray, odd: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that have shingles, and the names of their bands, a row for each band."""
+    code, ends = shingle_hashes(data, at, SHINGLE)
+    on = np.flatnonzero(np.diff(ends))
+    starts = ends[on]
+    keys = np.zeros((BANDS, len(on)), np.uint64)
+    room = np.empty_like(code)
+    for k in range(BANDS * ROWS if len(on) else 0):
+        np.bitwise_xor(code, turn[k], out=room)
+        np.multiply(room, odd[k], out=room)
+        band = keys[k // ROWS]
+        band += np.minimum.reduceat(room, starts)
+        band += np.uint64(k // ROWS + 1)
+        band *= np.uint64(0x9E3779B97F4A7C15)
+        band ^= band >> np.uint64(31)
+    return on, keys
+
+
+def _packed(pairs: list[np.ndarray]) -> pa.RecordBatch:
+    """part, pairs: band and line by the band's part, a row for each part."""
+    both = np.concatenate(pairs)
+    part = (both[:, 0].view(np.uint64) >> np.uint64(64 - PART_BITS)).astype(np.uint16)
+    both = both[np.argsort(part, kind="stable")]
+    n = np.bincount(part, minlength=1 << PART_BITS)
+    has = np.flatnonzero(n)
+    ends = np.concatenate([[0], np.cumsum(16 * n[has])]).astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(has), [None, pa.py_buffer(ends), pa.py_buffer(both)])
+    return pa.RecordBatch.from_arrays([pa.array(has.astype(np.int32)), packed], ["part", "pairs"])
+
+
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """band, line: one row for each band of each line."""
+    """part, pairs: each band of each line, packed."""
     rng = np.random.default_rng(7)
     odd = rng.integers(0, 1 << 32, BANDS * ROWS, np.uint32, endpoint=False) | np.uint32(1)
     turn = rng.integers(0, 1 << 32, BANDS * ROWS, np.uint32, endpoint=False)
+    pairs, total = [], 0
     for batch in batches:
         ids = batch.column("line").to_numpy()
         ids, first = np.unique(ids, return_index=True)
         lines = batch.column("body").take(pa.array(first))
         data, at = flat(lines)
-        for lo, hi in row_slices(at, 1 << 18):
-            code, ends = shingle_hashes(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo], SHINGLE)
-            on = np.flatnonzero(np.diff(ends))
-            if not len(on):
-                continue
-            starts = ends[on]
-            keys = np.zeros((BANDS, len(on)), np.uint64)
-            for k in range(BANDS * ROWS):
-                least = np.minimum.reduceat((code ^ turn[k]) * odd[k], starts).astype(np.uint64)
-                band = keys[k // ROWS]
-                band += least + np.uint64(k // ROWS + 1)
-                band *= np.uint64(0x9E3779B97F4A7C15)
-                band ^= band >> np.uint64(31)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64).ravel()), pa.array(np.tile(ids[lo:hi][on], BANDS))],
-                ["band", "line"])
+        for lo, hi in row_slices(at, 1 << 17):
+            on, keys = line_bands(data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo], odd, turn)
+            pairs.append(np.stack([keys.view(np.int64).ravel(), np.tile(ids[lo:hi][on], BANDS)], 1))
+            total += keys.size
+            if total >= PACKED:
+                yield _packed(pairs)
+                pairs, total = [], 0
+    if total:
+        yield _packed(pairs)
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -89,13 +116,20 @@ def shingle_sets(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     for k in range(SHINGLE):
         wide <<= np.uint64(8)
         wide |= data[k:n + k]
-    return [np.unique(wide[lo:max(hi - SHINGLE + 1, lo)]) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist())]
+    out = []
+    for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
+        own = np.sort(wide[lo:max(hi - SHINGLE + 1, lo)])
+        new = own[1:] != own[:-1]
+        out.append(own if new.all() else own[np.concatenate([[True], new])])
+    return out
 
 
 def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     if min(len(a), len(b)) < similarity * max(len(a), len(b)) or not len(a):
         return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    either = np.concatenate([a, b])
+    either.sort(kind="stable")  # two sorted stretches
+    both = np.count_nonzero(either[1:] == either[:-1])
     return both >= similarity * (len(a) + len(b) - both)
 
 
@@ -164,27 +198,61 @@ def _connect(similarity: float):
     return run
 
 
+def shared_pairs(band: np.ndarray, line: np.ndarray, told: np.ndarray):
+    """Indices of the pairs to tell now, those of bands with two different lines
+    or more that were not told before, and of one pair of each band to keep,
+    with whether it is told by now."""
+    order = np.argsort(band)
+    same = np.zeros(len(band) + 1, bool)
+    same[1:-1] = band[order[1:]] == band[order[:-1]]
+    often = same[1:] | same[:-1]
+    alone, some = order[~often], order[often]
+    some = some[np.lexsort((~told[some], line[some], band[some]))]
+    new = np.ones(len(some) + 1, bool)  # of equal pairs the one that was told
+    new[1:-1] = (band[some[1:]] != band[some[:-1]]) | (line[some[1:]] != line[some[:-1]])
+    some = some[new[:-1]]
+    head = np.ones(len(some) + 1, bool)
+    head[1:-1] = band[some[1:]] != band[some[:-1]]
+    single = head[:-1] & head[1:]
+    # a band of which one line was told before is shared, be the other here or not
+    now = some[~single & ~told[some]]
+    kept = np.concatenate([alone, some[head[:-1]]])
+    return now, kept, np.concatenate([told[alone], ~single[head[:-1]] | told[some[head[:-1]]]])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """band, line of packed pairs."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            data, _ = flat(batch.column("pairs").slice(lo, 256))
+            both = np.frombuffer(data.tobytes(), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in both.T], ["band", "line"])
+
+
 def _shared_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """band, line once, of the bands with two different lines or more; rows come
-    sorted by both. One row is held back from batch to batch."""
-    held_band = held_line = np.zeros(0, np.int64)
-    met = False  # whether the row held back has a different line of its band before it
+    """band, line of the bands with two different lines or more. Pairs are
+    settled ``SETTLED`` at a time; then one of each band is kept, so a band of
+    any size takes no more memory. A pair may be told twice."""
+    bands, lines, told, fresh = [], [], np.zeros(0, bool), 0
+
+    def settle() -> pa.RecordBatch:
+        nonlocal bands, lines, told, fresh
+        band, line = np.concatenate(bands), np.concatenate(lines)
+        now, kept, told = shared_pairs(band, line, np.concatenate([told, np.zeros(fresh, bool)]))
+        bands, lines, fresh = [band[kept]], [line[kept]], 0
+        return pa.RecordBatch.from_arrays([pa.array(band[now]), pa.array(line[now])], ["band", "line"])
     for batch in batches:
-        band = np.concatenate([held_band, batch.column("band").to_numpy()])
-        line = np.concatenate([held_line, batch.column("line").to_numpy()])
-        if not len(band):
-            continue
-        new = np.ones(len(band), bool)
-        new[1:] = (band[1:] != band[:-1]) | (line[1:] != line[:-1])
-        band, line = band[new], line[new]
-        before = np.zeros(len(band), bool)
-        before[0] = met
-        before[1:] = band[1:] == band[:-1]
-        on = before[:-1] | before[1:]
-        yield pa.RecordBatch.from_arrays([pa.array(band[:-1][on]), pa.array(line[:-1][on])], ["band", "line"])
-        held_band, held_line, met = band[-1:], line[-1:], bool(before[-1])
-    if met:
-        yield pa.RecordBatch.from_arrays([pa.array(held_band), pa.array(held_line)], ["band", "line"])
+        bands.append(batch.column("band").to_numpy())
+        lines.append(batch.column("line").to_numpy())
+        fresh += len(batch)
+        if fresh >= max(SETTLED, len(told)):
+            yield settle()
+    if fresh:
+        yield settle()
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _shared_bands(_unpacked(batches))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -192,8 +260,8 @@ def lines_of(docs: DataFrame) -> DataFrame:
     line and line2 are a 128-bit hash of the body."""
     body = F.lower(F.trim("part"))
     return (docs.select(*KEY, F.posexplode(F.split("text", "\n", -1)).alias("place", "part"))
+            .where(F.trim("part") != "")
             .select(*KEY, "place", body.alias("body"))
-            .where(F.length("body") > 0)
             .select(*KEY, "place", F.xxhash64(F.lit(1), "body").alias("line"),
                     F.xxhash64(F.lit(2), "body").alias("line2"), "body"))
 
@@ -250,8 +318,8 @@ def linked_lines(lines: DataFrame, similarity: float, block: int = 256) -> DataF
     the end all its lines that are not connected are compared, blocks pair by
     pair."""
     shape = "band long, line long"
-    banded = lines.select("line", "body").mapInArrow(_band_keys, shape)
-    met = staged(banded.repartition("band").sortWithinPartitions("band", "line").mapInArrow(_shared_bands, shape), "met")
+    banded = lines.select("line", "body").mapInArrow(_band_keys, "part int, pairs binary")
+    met = staged(banded.repartition("part").mapInArrow(_met, shape).distinct(), "met")
     open_ = staged(_one_of_each(met), "open")
     wanted = open_.select("line").distinct()
     bodies = staged(

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import marlstone.llm.line_dedup as ld
 from marlstone.llm.common import bit_filter, key_ranges, maybe_in, without
 from marlstone.llm.components import components
 from marlstone.llm.exact_dedup import exact_dedup, powers
@@ -187,6 +188,37 @@ def test_sorted_rows_across_batches():
         assert [g[0] for g in groups] == sorted(lines) and sum(groups, []) == [r[0] for r in rows]
 
 
+@pytest.mark.parametrize("settled", [1, 3, 50, 1 << 21])
+def test_packed_bands_are_settled_in_turns(monkeypatch, settled):
+    monkeypatch.setattr(ld, "SETTLED", settled)
+    rng = random.Random(settled)
+    for _ in range(60):
+        pairs = [(rng.randrange(-30, 30) << 57, rng.randrange(6)) for _ in range(rng.randrange(80))]
+        packed = [ld._packed([np.array(pairs[i:i + 7], np.int64)]) for i in range(0, len(pairs), 7)]
+        got = [r for b in ld._met(iter(packed)) for r in zip(*(c.to_pylist() for c in b.columns))]
+        lines = defaultdict(set)
+        for band, line in pairs:
+            lines[band].add(line)
+        assert set(got) == {r for r in pairs if len(lines[r[0]]) > 1}
+        assert len(got) == len(set(got)) or settled < len(pairs)
+
+
+def test_bands_travel_packed():
+    rng = random.Random(5)
+    bodies = [" ".join(rng.choices(["lorem", "ipsum", "dolor", "sit"], k=9)) for _ in range(400)] + ["short", ""]
+    batch = pa.RecordBatch.from_pydict({"line": list(range(402)), "body": bodies})
+    rows = list(ld._band_keys(iter([batch, batch])))
+    assert len(rows) == 1 and rows[0].num_rows <= 1 << ld.PART_BITS
+    pairs = [r for b in ld._unpacked(iter(rows)) for r in zip(*(c.to_pylist() for c in b.columns))]
+    assert Counter(line for _, line in pairs) == {i: 2 * ld.BANDS for i in range(400)}
+    # all pairs of a band are in one part
+    parts = {band: {(band % (1 << 64)) >> (64 - ld.PART_BITS)} for band, _ in pairs}
+    for part, packed in zip(*(c.to_pylist() for c in rows[0].columns)):
+        for band in np.frombuffer(packed, np.int64)[::2].tolist():
+            parts[band].add(part)
+    assert {len(p) for p in parts.values()} == {1}
+
+
 def line_truth(least=24, similarity=0.8):
     docs = sorted({(low(i), i, t) for i, t, *_ in ROWS if t is not None}, key=lambda x: x[0])
     found = {}
