@@ -15,8 +15,9 @@ from marlstone.llm.exact_dedup import exact_dedup, powers
 from marlstone.llm.jaccard_join import jaccard_dedup, jaccard_join, survival
 from marlstone.llm.line_dedup import (
     _shared_bands, alike, alike_pairs, drop_repeated_lines, line_dedup, linked_lines, shingle_sets)
-from marlstone.llm.suffix_dedup import suffix_dedup
-from tests.llm.fixtures import SCHEMA, corpus, words
+from marlstone.llm.queries import op3_suffix_dedup
+from marlstone.llm.suffix_dedup import SLICE, suffix_dedup
+from tests.llm.fixtures import SCHEMA, corpus, make_text, words
 
 ROWS = corpus()
 
@@ -77,6 +78,22 @@ def test_suffix_dedup(docs, length):
     assert got == expected
 
 
+def test_suffix_dedup_query_on_passages(spark, tmp_path):
+    # 400 bytes decide, not the number of words; n_bytes is the input's length whatever is removed
+    rng = random.Random(3)
+    long, short = make_text(rng, 130), "".join(f"{w:04d} " for w in range(60))
+    assert len(long.encode()) >= 400 > len(short) and len(short.split()) > 50
+    body = "".join(rng.choices("abcdefgh ", k=SLICE + 5000))
+    edge = body[SLICE - 300:SLICE + 500]
+    parts = {0: ("A", long, "B"), 1: ("C", long, "D"), 2: (f"A{short}B", "", ""), 3: (f"C{short}D", "", ""),
+             4: (make_text(rng, 300), "", ""), 5: (body[:SLICE - 300], edge, body[SLICE + 500:]), 6: ("A", edge, "B")}
+    spark.createDataFrame([(i, "".join(x)) for i, x in parts.items()], "doc_id long, text string") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    expected = {(i, len("".join(x).encode()), len(x[1].encode()), int(x[1] != ""),
+                 hashlib.sha256((x[0] + x[2]).encode()).hexdigest()) for i, x in parts.items()}
+    assert set(rows_of(op3_suffix_dedup(spark, str(tmp_path)))) == expected
+
+
 def test_suffix_dedup_rejects_other_lengths(docs):
     with pytest.raises(ValueError):
         suffix_dedup(docs, 100)
